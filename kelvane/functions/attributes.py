@@ -26,6 +26,13 @@ def last_int(attributes: Column, key: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]["int_value"]
 
 
+def first_text(attributes: Column, key: str) -> Column:
+    """First non-empty text under ``key``, or ''."""
+    hits = F.filter(
+        attributes, lambda a: (a["key"] == key) & (a["value"]["string_value"] != ""))
+    return F.coalesce(F.get(hits, F.lit(0))["value"]["string_value"], F.lit(""))
+
+
 def first_filled(values: Column) -> Column:
     """First non-empty text of an array, or ''."""
     return F.coalesce(F.try_element_at(F.filter(values, lambda v: v != ""), F.lit(1)), F.lit(""))

@@ -57,7 +57,7 @@ def flatten_batches(
     if mode not in ("first", "all") or missing not in ("zero", "null"):
         raise ValueError(f"unknown mode or missing: {mode!r}, {missing!r}")
     resources = batches.select(
-        *keep, F.posexplode("resource_metrics").alias("position", "_rm")
+        *keep, F.posexplode_outer("resource_metrics").alias("position", "_rm")
     ).select(
         *keep, "position",
         A.last_text(F.col("_rm")["resource"]["attributes"], "sensor_id").alias("_sensor"),
@@ -107,10 +107,10 @@ def _all_points(resources: DataFrame, missing: str, keep: tuple[str, ...]) -> Da
     def identity(own: str, point: Column, key: str) -> Column:
         own_text = F.col(own)
         return F.when(own_text != "", own_text).otherwise(
-            A.first_filled(A.text_values(F.coalesce(point["attributes"], F.array()), key)))
+            A.first_text(point["attributes"], key))
 
     def point_ms(point: Column) -> Column:
-        carried = A.last_int(F.coalesce(point["attributes"], F.array()), "timestamp_nanos")
+        carried = A.last_int(point["attributes"], "timestamp_nanos")
         return F.call_function(
             "div", F.coalesce(carried, point["time_unix_nano"]), F.lit(NANOS_PER_MS))
 
@@ -142,13 +142,13 @@ def _all_points(resources: DataFrame, missing: str, keep: tuple[str, ...]) -> Da
     # A reading is now a run of at most len(names) + 1 entries.
     span = len(names) + 1
     heads = last_of_name.withColumn("_readings", F.filter(
-        F.transform("_last", lambda p, i: F.struct(
-            (~p["key"].eqNullSafe(preceding("_last", i)["key"])).alias("head"),
-            p["key"].alias("key"),
-            F.filter(F.slice(F.col("_last"), i + 1, F.lit(span)),
-                     lambda q: q["key"].eqNullSafe(p["key"])).alias("points"),
-        )),
-        lambda r: r["head"]))
+        F.transform("_last", lambda p, i: F.when(
+            ~p["key"].eqNullSafe(preceding("_last", i)["key"]),
+            F.struct(
+                p["key"].alias("key"),
+                F.filter(F.slice(F.col("_last"), i + 1, F.lit(span)),
+                         lambda q: q["key"].eqNullSafe(p["key"])).alias("points")))),
+        lambda r: r.isNotNull()))
 
     def named(name: str) -> Column:
         return F.try_element_at(

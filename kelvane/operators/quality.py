@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelvane.functions.documents import json_type, valid_text, whole_document
+from kelvane.functions.once import computed_once
 from kelvane.functions.times import floor_ms, to_ms, width_ms
 from kelvane.operators.payload import FIELDS, SCHEMA_VERSION
 
@@ -22,14 +23,10 @@ def field_mismatches(messages: DataFrame, value: str = "value", keep: tuple[str,
         F.when(whole_document(text).isNotNull(), F.json_object_keys(text)),
         F.array().cast("array<string>"))
     expected = F.array(*[F.lit(f) for f in FIELDS])
-    return (
-        messages.withColumn("_keys", keys)
-        .select(
-            *keep,
-            F.array_sort(F.array_except(expected, "_keys")).alias("missing"),
-            F.array_sort(F.array_except("_keys", expected)).alias("unexpected"))
-        .filter((F.size("missing") > 0) | (F.size("unexpected") > 0))
-    )
+    found = computed_once(messages.withColumn("_keys", keys), list(keep),
+        missing=F.array_sort(F.array_except(expected, "_keys")),
+        unexpected=F.array_sort(F.array_except("_keys", expected)))
+    return found.filter((F.size("missing") > 0) | (F.size("unexpected") > 0))
 
 
 def type_mismatches(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -39,19 +36,17 @@ def type_mismatches(messages: DataFrame, value: str = "value", keep: tuple[str,
     def kind(field: str) -> Column:
         return F.coalesce(F.substring_index(json_type(doc, field), "(", 1), F.lit("ABSENT"))
 
-    version = F.try_variant_get(doc, "$.schema_version", "string")
-    return (
-        messages.withColumn("_doc", whole_document(valid_text(F.col(value))))
-        .filter(doc.isNotNull())
-        .select(
-            *keep,
-            kind("schema_version").alias("version_type"),
-            version.alias("version"),
-            kind("timestamp_ms").alias("time_type"))
-        .filter(
+    found = computed_once(
+        messages.withColumn("_doc", whole_document(valid_text(F.col(value)))), list(keep),
+        readable=doc.isNotNull(),
+        version_type=kind("schema_version"),
+        version=F.try_variant_get(doc, "$.schema_version", "string"),
+        time_type=kind("timestamp_ms"))
+    return found.filter(
+        F.col("readable") & (
             (F.col("version_type") != "STRING") | (F.col("version") != SCHEMA_VERSION)
             | (F.col("time_type") != "BIGINT"))
-    )
+    ).drop("readable")
 
 
 def _outside(column: str, low: float, high: float) -> Column:

@@ -351,17 +351,14 @@ def snapshot_latest(spark, folder):
     return metrics.metric_rows(metrics.latest_snapshot(rows))
 
 
-SAMPLE = "6 hours"
-
-
-def _sampled(spark, folder):
+def _sampled(spark, folder, period="1 day"):
     rows = fx.readings(spark, folder).withColumn(
         "ts_nanos", payload.nanos(F.unix_millis("time")))
-    return metrics.sampled_snapshot(rows, SAMPLE, arrival_time="time")
+    return metrics.sampled_snapshot(rows, period, arrival_time="time")
 
 
 def snapshot_sampled(spark, folder):
-    return _sampled(spark, folder).select(
+    return _sampled(spark, folder, "6 hours").select(
         _ms("tick").alias("tick_ms"), "sensor_id", "room", "temp_c", "humidity", "pressure",
         "ts_nanos")
 
@@ -475,10 +472,10 @@ DECODE = {
     "snapshot_sampled": Query(snapshot_sampled, _with(
         q.snapshots(6 * q.HOUR), select=f"SELECT {SNAP_COLUMNS} FROM snaps")),
     "batch_assembled": Query(batch_assembled, _with(
-        q.snapshots(6 * q.HOUR), select="""SELECT tick_ms, count(*) * 3 AS points,
+        q.snapshots(q.DAY), select="""SELECT tick_ms, count(*) * 3 AS points,
         count(*) * 9 AS attributes FROM snaps GROUP BY 1""")),
     "batch_roundtrip": Query(batch_roundtrip, _with(
-        q.snapshots(6 * q.HOUR), select=f"SELECT {SNAP_COLUMNS} FROM snaps")),
+        q.snapshots(q.DAY), select=f"SELECT {SNAP_COLUMNS} FROM snaps")),
     "batch_flatten_first": Query(_flat("first"), _with(
         FLAT_FIRST.format(absent="0.0"), select=f"SELECT {FLAT_COLUMNS} FROM flat")),
     "batch_flatten_all": Query(_flat("all"), _with(

@@ -180,36 +180,36 @@ def shaped(col: Column, kind: T.DataType) -> Column:
     return col
 
 
+def _set(**fields) -> dict:
+    return {name: value for name, value in fields.items() if value is not None}
+
+
+def _attribute_messages(attributes) -> list[dict]:
+    return [_set(key=a["key"], value=_set(**(a["value"] or {}))) for a in attributes or []]
+
+
+def _point_message(point) -> dict:
+    whole = point["as_int"] if point["as_double"] is None else None
+    return _set(
+        attributes=_attribute_messages(point["attributes"]),
+        time_unix_nano=(point["time_unix_nano"] or 0) % 2**64,
+        as_double=point["as_double"], as_int=whole)
+
+
+def _metric_message(metric) -> dict:
+    gauge = metric["gauge"]
+    if gauge is not None:
+        gauge = {"data_points": [_point_message(p) for p in gauge["data_points"] or []]}
+    return _set(name=metric["name"], gauge=gauge)
+
+
 def batch_bytes(resources: list[dict] | None) -> bytes:
     """One message from the rows of its resources."""
-    batch = message_class()()
-    for r in resources or []:
-        target = batch.resource_metrics.add()
-        _add_attributes(target.resource.attributes, (r["resource"] or {}).get("attributes"))
-        for s in r["scope_metrics"] or []:
-            scope = target.scope_metrics.add()
-            for m in s["metrics"] or []:
-                metric = scope.metrics.add(name=m["name"] or "")
-                if m["gauge"] is None:
-                    continue
-                metric.gauge.SetInParent()
-                for p in m["gauge"]["data_points"] or []:
-                    point = metric.gauge.data_points.add(
-                        time_unix_nano=(p["time_unix_nano"] or 0) % 2**64)
-                    _add_attributes(point.attributes, p["attributes"])
-                    if p["as_double"] is not None:
-                        point.as_double = p["as_double"]
-                    elif p["as_int"] is not None:
-                        point.as_int = p["as_int"]
-    return batch.SerializeToString()
-
-
-def _add_attributes(target, attributes) -> None:
-    for a in attributes or []:
-        entry = target.add(key=a["key"] or "")
-        for name, value in (a["value"] or {}).items():
-            if value is not None:
-                setattr(entry.value, name, value)
+    return message_class()(resource_metrics=[{
+        "resource": {"attributes": _attribute_messages((r["resource"] or {}).get("attributes"))},
+        "scope_metrics": [{"metrics": [_metric_message(m) for m in s["metrics"] or []]}
+                          for s in r["scope_metrics"] or []],
+    } for r in resources or []]).SerializeToString()
 
 
 def encode_batches(batches: DataFrame, value: str = "value") -> DataFrame:
