@@ -1,0 +1,143 @@
+from datetime import datetime, timezone
+
+from pyspark.sql import functions as F
+
+from kelvane import schemas
+from kelvane.operators import alerts, dashboard, rollup, windows
+from kelvane.sinks import tables, topics
+from kelvane.sources.tables import scan
+
+
+def rows_of(spark, rows):
+    return spark.createDataFrame(
+        rows, "sensor_id string, minute bigint, temp_c double, partition int, offset bigint"
+    ).select(
+        F.timestamp_seconds(F.col("minute") * 60).alias("time"), "sensor_id",
+        F.lit("r").alias("room"), "temp_c", F.lit(1.0).alias("humidity"),
+        F.lit(None).cast("double").alias("pressure"), "partition", "offset",
+    ).withColumn("event_date", F.to_date("time"))
+
+
+def insert(spark, root, rows):
+    tables.insert_first_wins(rows_of(spark, rows), root, "readings_raw", ["partition", "offset"])
+
+
+def stored(spark, root):
+    found = scan(spark, root, "readings_raw").select(
+        "sensor_id", F.unix_seconds("time"), "temp_c").collect()
+    return sorted((r[0], r[1] // 60, r[2]) for r in found)
+
+
+def test_first_write_wins_within_and_across_batches(spark, root):
+    insert(spark, root, [("a", 1, 5.0, 0, 9), ("a", 1, 4.0, 0, 3), ("a", 2, 6.0, 0, 4)])
+    assert stored(spark, root) == [("a", 1, 4.0), ("a", 2, 6.0)]
+    insert(spark, root, [("a", 1, 9.0, 0, 1), ("b", 1, 7.0, 0, 2), ("a", 5000, 8.0, 1, 0)])
+    assert stored(spark, root) == [("a", 1, 4.0), ("a", 2, 6.0), ("a", 5000, 8.0), ("b", 1, 7.0)]
+
+
+def test_replay_adds_nothing(spark, root):
+    batch = [("a", i, float(i), 0, i) for i in range(0, 5000, 500)]
+    for _ in range(3):
+        insert(spark, root, batch)
+    assert len(stored(spark, root)) == 10
+
+
+def test_empty_batch(spark, root):
+    insert(spark, root, [])
+    assert stored(spark, root) == []
+
+
+def test_many_dates_use_a_range(spark, root, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_LISTED_DATES", 2)
+    batch = [("a", i * 1440, 1.0, 0, i) for i in range(5)]
+    for _ in range(2):
+        insert(spark, root, batch)
+    assert len(stored(spark, root)) == 5
+
+
+def test_dates_are_partitions(spark, root):
+    insert(spark, root, [("a", 0, 1.0, 0, 0), ("a", 1440, 2.0, 0, 1)])
+    plan = dashboard.select_range(
+        scan(spark, root, "readings_raw"), start=datetime(1970, 1, 2, tzinfo=timezone.utc))
+    assert plan.count() == 1
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text and "1970-01-02" in text
+    assert len(plan.inputFiles()) >= 1
+
+
+def test_tables_are_kept_when_created_again(spark, root):
+    insert(spark, root, [("a", 0, 1.0, 0, 0)])
+    tables.ensure_tables(spark, root)
+    assert len(stored(spark, root)) == 1
+
+
+def test_new_tables_are_empty_with_their_schema(spark, root):
+    for name, (schema, _) in schemas.TABLES.items():
+        frame = scan(spark, root, name)
+        assert frame.count() == 0 and frame.columns == schema.names
+
+
+def test_aggregated_rows_are_unique(spark, root):
+    results = spark.createDataFrame(
+        [("r", 0, 1.0, 1.0, 1.0, 1.0), ("r", 300_000, 2.0, 2.0, 2.0, 2.0)], schemas.WINDOW_RESULT)
+    for _ in range(2):
+        tables.insert_first_wins(
+            windows.as_table_rows(results), root, "readings_aggregated", ["bucket"])
+    assert scan(spark, root, "readings_aggregated").count() == 2
+
+
+def test_replayed_alert_has_the_same_id(spark, root):
+    raised = spark.createDataFrame([("r", 300_000, 26.0, 3)], schemas.ALERT)
+    for _ in range(2):
+        tables.append_alerts(raised, root)
+    rows = scan(spark, root, "alerts").collect()
+    assert len(rows) == 2 and len({r.id for r in rows}) == 1
+    assert all(r.time is not None for r in rows)
+
+
+def test_refresh_range_takes_whole_buckets():
+    now = datetime(2024, 1, 1, 12, 30)
+    assert rollup.refresh_range(now) == (
+        datetime(2024, 1, 1, 10, tzinfo=timezone.utc), datetime(2024, 1, 1, 11, tzinfo=timezone.utc))
+    exact = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+    low, high = rollup.refresh_range(exact, "2 hours", "1 hour")
+    assert (low.hour, high.hour) == (10, 11)
+
+
+def test_refresh_recomputes_its_range_only(spark, root):
+    paths = (f"{root}/readings_raw", f"{root}/hourly_temp")
+
+    def hours():
+        found = scan(spark, root, "hourly_temp").select(F.unix_seconds("bucket"), "max_temp")
+        return sorted((r[0] // 3600, r[1]) for r in found.collect())
+
+    insert(spark, root, [("a", h * 60, float(h), 0, h) for h in range(30)])
+    now = datetime(1970, 1, 2, 4, tzinfo=timezone.utc)
+    rollup.refresh_hourly(spark, *paths, now, "8 hours", "1 hour")
+    assert hours() == [(h, float(h)) for h in range(20, 27)]
+    insert(spark, root, [("b", h * 60, 100.0 + h, 0, h) for h in (20, 25)])
+    rollup.refresh_hourly(spark, *paths, now, "4 hours", "1 hour")
+    assert hours() == [(h, 125.0 if h == 25 else float(h)) for h in range(20, 27)]
+
+
+def test_refresh_of_nothing(spark, root):
+    now = datetime(1970, 1, 2, tzinfo=timezone.utc)
+    rollup.refresh_hourly(spark, f"{root}/readings_raw", f"{root}/hourly_temp", now, "1 hour", "1 hour")
+    assert scan(spark, root, "hourly_temp").count() == 0
+
+
+def test_topic_writer(spark, tmp_path):
+    from kelvane.operators import codec
+    raised = spark.createDataFrame([("r", 300_000, 26.0, 3), (None, 1, 1.0, 1)],
+                                   "room string, window_start_ms bigint, max_temp double, "
+                                   "consecutive_count int")
+    topics.file_writer(str(tmp_path / "t"))(codec.alert_messages(raised))
+    (row,) = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert bytes(row.key) == b"r"
+    assert row.value == ('{"room":"r","window_start_ms":300000,"max_temp":26.0,'
+                         '"consecutive_count":3}')
+
+
+def test_write_settings():
+    assert tables.WRITE_SETTINGS["readings_raw"] == tables.WriteSettings(100, 200, 3)
+    assert alerts.CONSECUTIVE_THRESHOLD == 3
