@@ -16,7 +16,7 @@ def numeric_round(col: Column, digits: int) -> Column:
     have no numeric form pass through.
     """
     as_decimal = F.format_string("%.14e", col).cast("decimal(38,15)")
-    special = F.isnan(col) | col.isin(INF, -INF)
+    special = col.isNull() | F.isnan(col) | col.isin(INF, -INF)
     return F.when(special, col).otherwise(F.round(as_decimal, digits).cast("double"))
 
 

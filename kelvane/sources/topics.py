@@ -44,14 +44,11 @@ def file_topic(spark: SparkSession, path: str, files_per_batch: int = 1000) -> D
 
 
 def text_topic(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Landed payloads, one JSON document per line.
-
-    Lines carry no offset; the file name and a row position order them.
-    """
+    """Landed payloads, one JSON document per line, in the order files arrived."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
     return lines.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(0).alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        F.unix_micros("_metadata.file_modification_time").alias("offset"),
     )

@@ -34,8 +34,12 @@ def readings_of_batches(topic: DataFrame, mode: str = "first", missing: str = "z
 
 def readings_of_payloads(topic: DataFrame) -> DataFrame:
     """Good readings of a topic of JSON payloads, with their arrival order."""
-    parsed = payload.parse_payloads(topic)
-    return payload.accepted(parsed, keep=("partition", "offset")).withColumn("position", F.lit(0))
+    return payload.accepted(payload.parse_payloads(positioned(topic)), keep=tuple(ARRIVAL_ORDER))
+
+
+def positioned(topic: DataFrame) -> DataFrame:
+    """Lines of one landed file share an offset; their hash makes the order total."""
+    return topic.drop("key").withColumn("position", F.xxhash64("value"))
 
 
 def with_date(readings: DataFrame) -> DataFrame:
@@ -116,11 +120,10 @@ def start_payload_job(
     """Decode payloads, store the good readings and keep the bad with a reason."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = payload.parse_payloads(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = payload.parse_payloads(positioned(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = payload.accepted(parsed, keep=("partition", "offset"))
-            tables.insert_first_wins(
-                with_date(good), root, "readings_raw", ["partition", "offset"])
+            good = payload.accepted(parsed, keep=tuple(ARRIVAL_ORDER))
+            tables.insert_first_wins(with_date(good), root, "readings_raw", ARRIVAL_ORDER)
             # A repeated batch replaces its own rejects.
             payload.rejected(parsed, keep=("partition", "offset")).write.mode(
                 "overwrite").parquet(f"{rejects}/batch={batch_id}")
