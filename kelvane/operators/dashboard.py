@@ -42,14 +42,16 @@ def select_range(
 def latest_per_room(readings: DataFrame, rooms: list[str] | None = None) -> DataFrame:
     """Newest reading of each room; of several at that time, the first sensor's.
 
-    Two hash aggregates joined on the room instead of sorting all readings.
+    One scan: the newest per sensor first, with flat buffers, so that only a
+    row per sensor and room is compared by time and name.
     """
-    chosen = select_rooms(readings, rooms)
-    newest = chosen.groupBy("room").agg(F.max("time").alias("time"))
-    at_newest = chosen.join(newest, ["room", "time"])
-    return at_newest.groupBy("time", "room").agg(
-        F.min_by("temp_c", "sensor_id").alias("temp_c")
-    ).select("time", "room", numeric_round(F.col("temp_c"), 1).alias("temp_c"))
+    per_sensor = select_rooms(readings, rooms).groupBy("room", "sensor_id").agg(
+        F.max("time").alias("time"), F.max_by("temp_c", "time").alias("temp_c"))
+    # Of equal times the smallest name: unequal times are told apart first.
+    newest = per_sensor.groupBy("room").agg(F.min_by(
+        F.struct("time", "temp_c"), F.struct(-F.unix_micros("time"), "sensor_id")).alias("r"))
+    return newest.select(
+        F.col("r.time").alias("time"), "room", numeric_round(F.col("r.temp_c"), 1).alias("temp_c"))
 
 
 def band(temp: Column, bands: list[tuple] | None = None) -> Column:

@@ -125,17 +125,16 @@ def resource(attrs: Column, metrics: Column) -> Column:
 
 
 def assemble_batches(snapshots: DataFrame, max_sensors: int = 1000) -> DataFrame:
-    """One nested batch per tick: (tick, shard, resource_metrics).
+    """Nested batches per tick: (tick, shard, resource_metrics).
 
-    A tick with more than ``max_sensors`` readings is split over several
-    batches by a hash of the sensor, so a message stays small however many
-    sensors report. Each (sensor, room) occurs once per tick, so the shards
-    come out even. Batch input only.
+    If any tick has more than ``max_sensors`` readings, ticks are split over
+    several batches by a hash of the sensor, so a message stays small however
+    many sensors report. Each (sensor, room) occurs once per tick, so the
+    shards come out even. Batch input only.
     """
-    shards = snapshots.groupBy("tick").agg(
-        F.ceil(F.count("*") / F.lit(max_sensors)).alias("shards"))
-    placed = snapshots.join(shards, "tick").withColumn(
-        "shard", F.pmod(F.xxhash64("sensor_id", "room"), F.col("shards")))
+    largest = snapshots.groupBy("tick").count().select(F.max("count")).scalar()
+    shards = F.greatest(F.ceil(largest / F.lit(max_sensors)), F.lit(1))
+    placed = snapshots.withColumn("shard", F.pmod(F.xxhash64("sensor_id", "room"), shards))
     grouped = placed.groupBy("tick", "shard").agg(F.array_sort(F.collect_list(F.struct(
         "sensor_id", "room", "ts_nanos", "temp_c", "humidity", "pressure"))).alias("_items"))
     tick_nanos = F.unix_micros("tick") * 1000

@@ -85,7 +85,7 @@ def far_from_arrival(readings: DataFrame, tolerance_ms: int = 5000,
     return readings.withColumn("gap_ms", gap).filter(F.col("gap_ms") > tolerance_ms)
 
 
-def cadence(readings: DataFrame, chunk: str = "1 hour") -> DataFrame:
+def cadence(readings: DataFrame, chunk: str = "1 hour", unique: bool = False) -> DataFrame:
     """Summary per sensor of the gaps between its readings, in milliseconds.
 
     A busy sensor's history is split by time. Copies of a time collapse before

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from kelvane.functions.numbers import infinite_to_zero
 from kelvane.functions.times import floor_ms, to_ms, width_ms
+from kelvane.session import shared_root
+
+# Largest table of window ends sent to every executor (24 bytes a row).
+MAX_BROADCAST_ENDS = 1_000_000
 
 
 def tumble(readings: DataFrame, width: str = "5 minutes", watermark: str | None = None) -> DataFrame:
@@ -58,26 +62,35 @@ def with_lateness(
     its end. That arrival is found per window from one aggregate over buckets
     of delayed event time and a running minimum over those buckets, so neither
     readings nor arrivals are ever sorted. ``arrival`` is any orderable column;
-    equal values count as simultaneous. Batch input only.
+    equal values count as simultaneous. Batch input only. The table of window
+    ends is computed on the call, and broadcast if its count allows.
     """
     step, wait = width_ms(width), width_ms(delay)
     ms = to_ms(F.col("time"))
     bucketed = readings.withColumn("_bucket", floor_ms(ms, step)).withColumn(
         "_closes", floor_ms(ms - wait, step))
     # One row per distinct bucket: the time span divided by the width.
-    firsts = bucketed.groupBy("_closes").agg(F.min(arrival).alias("_first")).select(
-        F.col("_closes").alias("_at"), "_first", F.lit(False).alias("_is_end"))
-    ends = bucketed.select("_bucket").distinct().select(
-        (F.col("_bucket") + step).alias("_at"),
-        F.lit(None).cast(firsts.schema["_first"].dataType).alias("_first"),
-        F.lit(True).alias("_is_end"))
+    firsts = bucketed.groupBy("_closes").agg(F.min(arrival).alias("_first"))
+    # A reading's window ends one step past its bucket, and its bucket lies at
+    # most ``reach`` steps past its delayed one: every end that can be asked for.
+    reach = -(-wait // step)
+    ends = firsts.select(F.explode(F.sequence(
+        F.col("_closes") + step, F.col("_closes") + (reach + 1) * step,
+        F.lit(step).cast("bigint"))).alias("_at")).distinct()
+    marks = firsts.select(F.col("_closes").alias("_at"), "_first", F.lit(False).alias("_is_end")
+                          ).unionByName(ends.select(
+        "_at", F.lit(None).cast(firsts.schema["_first"].dataType).alias("_first"),
+        F.lit(True).alias("_is_end")))
     onward = Window.orderBy(F.desc("_at"), "_is_end").rowsBetween(Window.unboundedPreceding, 0)
     closing = (
-        firsts.unionByName(ends)
-        .withColumn("_closed_by", F.min("_first").over(onward))
+        marks.withColumn("_closed_by", F.min("_first").over(onward))
         .filter("_is_end")
         .select((F.col("_at") - step).alias("_bucket"), "_closed_by")
     )
+    shared_root(readings.sparkSession)
+    closing = closing.checkpoint()
+    if closing.count() <= MAX_BROADCAST_ENDS:
+        closing = F.broadcast(closing)
     return (
         bucketed.join(closing, "_bucket", "left")
         .withColumn("late", F.coalesce(F.col(arrival) > F.col("_closed_by"), F.lit(False)))
