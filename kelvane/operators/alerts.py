@@ -32,7 +32,9 @@ def hot_runs(
     run and a redelivered one counts again. ``gap_resets`` ends a run where a
     window is missing; ``dedupe`` counts a redelivered window once.
     """
-    rows = window_results
+    # The rows feed two branches. This filter and the outer join below keep the
+    # optimizer from adding its own to one of them, so that both share a shuffle.
+    rows = window_results.filter(F.col("room").isNotNull())
     if dedupe:
         rest = [c for c in rows.columns if c not in ("room", "bucket_ms")]
         rows = rows.groupBy("room", "bucket_ms").agg(
@@ -79,7 +81,7 @@ def hot_runs(
     )
     run = F.col("_hots") - F.coalesce("_base", -F.col("_carry"))
     return (
-        rows.join(chunks, ["room", "_chunk"])
+        rows.join(chunks, ["room", "_chunk"], "left")
         .withColumn("run_len", F.when(F.col("_hot") == 1, run).otherwise(0).cast("int"))
         .select(*window_results.columns, "run_len")
     )

@@ -44,6 +44,14 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
 
 
+@pytest.mark.parametrize("name", ["alerts_runs", "alerts_gap_reset", "alerts_redelivered"])
+def test_alerts_scan_once(spark, name):
+    frame = QUERIES[name](spark, FOLDER)
+    frame.collect()
+    final = plan_of(frame).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_limits_are_top_k(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["recent_readings"](spark, FOLDER))
 
