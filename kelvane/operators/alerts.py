@@ -38,8 +38,13 @@ def hot_runs(
     if dedupe:
         rest = [c for c in rows.columns if c not in ("room", "bucket_ms")]
         rows = rows.groupBy("room", "bucket_ms").agg(
-            F.max_by(F.struct(*rest), "max_temp").alias("_r")).select("room", "bucket_ms", "_r.*")
-    rows = rows.withColumn("_hot", exceeds(F.col("max_temp"), threshold).cast("int")).withColumn(
+            F.max_by(F.struct(*rest), "max_temp").alias("_r")).select(
+            "room", "bucket_ms", "_r.*", F.lit(1).alias("_copies"))
+    else:
+        # Copies travel and are counted as one row and part again at the end.
+        rows = rows.groupBy(*window_results.columns).agg(F.count("*").alias("_copies"))
+    hot = exceeds(F.col("max_temp"), threshold)
+    rows = rows.withColumn("_hot", F.when(hot, F.col("_copies")).otherwise(0)).withColumn(
         "_chunk", floor_ms(F.col("bucket_ms"), width_ms(chunk)))
 
     ordered = Window.partitionBy("room", "_chunk").orderBy("bucket_ms", "max_temp")
@@ -55,7 +60,7 @@ def hot_runs(
         "_base", F.max(F.when(F.col("_broken"), F.col("_hots") - F.col("_hot"))).over(so_far))
 
     chunks = rows.groupBy("room", "_chunk").agg(
-        F.count("*").alias("_n"),
+        F.sum("_copies").alias("_n"),
         (F.sum("_hot") - F.max("_base")).alias("_tail"),
         F.min("bucket_ms").alias("_first"),
         F.max("bucket_ms").alias("_last"),
@@ -80,9 +85,13 @@ def hot_runs(
         .select("room", "_chunk", "_carry")
     )
     run = F.col("_hots") - F.coalesce("_base", -F.col("_carry"))
+    first = run - F.col("_hot") + 1
     return (
         rows.join(chunks, ["room", "_chunk"], "left")
-        .withColumn("run_len", F.when(F.col("_hot") == 1, run).otherwise(0).cast("int"))
+        .withColumn("_first", F.when(F.col("_hot") > 0, first).otherwise(0))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), (F.col("_copies") - 1).cast("int"))))
+        .withColumn("run_len", F.when(F.col("_hot") > 0, F.col("_first") + F.col("_copy"))
+                    .otherwise(0).cast("int"))
         .select(*window_results.columns, "run_len")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kelvane import schemas
 from kelvane.functions.times import width_ms
-from kelvane.session import conf_scope, shared_root
+from kelvane.session import shared_root
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -66,6 +66,5 @@ def refresh_hourly(
     stored = spark.read.schema(schemas.HOURLY_TEMP).parquet(rollup_path)
     kept = stored.filter(dates & ((F.col("bucket") < t0) | (F.col("bucket") >= t1)))
     merged = fresh.unionByName(kept).checkpoint()
-    with conf_scope(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        merged.hint("rebalance", "event_date").write.mode("overwrite").partitionBy(
-            "event_date").parquet(rollup_path)
+    merged.hint("rebalance", F.col("event_date")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(rollup_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from kelvane import schemas
 from kelvane.operators.dedup import first_wins
-
+from kelvane.session import shared_root
 
 # Unique keys of the stored tables; the date follows from the time and prunes.
 UNIQUE_KEYS = {
@@ -95,6 +96,21 @@ def insert_first_wins(
         winners.unpersist()
 
 
+def compact(spark: SparkSession, root: str, table: str, first: date, last: date) -> None:
+    """Rewrite the date partitions of a range as few files.
+
+    For closed dates, while no writer or stream works on the table: a stream
+    reading it would take the new files for news.
+    """
+    shared_root(spark)
+    schema, _ = schemas.TABLES[table]
+    path = f"{root}/{table}"
+    rows = spark.read.schema(schema).parquet(path).filter(
+        F.col("event_date").between(first, last)).checkpoint()
+    rows.hint("rebalance", F.col("event_date")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+
+
 def alert_rows(alerts: DataFrame) -> DataFrame:
     """Alerts with the write time and an id that a replay reproduces."""
     start = F.timestamp_millis("window_start_ms")

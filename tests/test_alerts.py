@@ -53,6 +53,14 @@ def test_redelivered_window(spark):
     assert detect(spark, rows, dedupe=True) == []
 
 
+def test_many_copies_are_counted_one_by_one(spark):
+    rows = series(20, 26) + series(20, 26)[1:] * 4 + series(20, 26, 27)[2:] + series(20)
+    assert [a[1:] for a in detect(spark, rows)] == [
+        (START + STEP, 26.0, n) for n in (3, 4, 5)] + [(START + 2 * STEP, 27.0, 6)]
+    runs = alerts.hot_runs(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(runs) == len(rows)
+
+
 def test_settings(spark):
     assert [a[3] for a in detect(spark, series(31, 29, 31, 32), threshold=30, consecutive=2)] == [2]
     assert [a[3] for a in detect(spark, series(26, 1, 26), consecutive=1)] == [1, 1]

@@ -138,6 +138,18 @@ def test_topic_writer(spark, tmp_path):
                          '"consecutive_count":3}')
 
 
+def test_compaction_keeps_rows_in_fewer_files(spark, root):
+    from datetime import date
+    for i in range(4):
+        insert(spark, root, [("a", i, 1.0, 0, i), ("a", 1440 + i, 1.0, 0, i)])
+    before = stored(spark, root)
+    tables.compact(spark, root, "readings_raw", date(1970, 1, 1), date(1970, 1, 1))
+    assert stored(spark, root) == before
+    files = scan(spark, root, "readings_raw").inputFiles()
+    assert sum("1970-01-01" in f for f in files) == 1
+    assert sum("1970-01-02" in f for f in files) == 4
+
+
 def test_write_settings():
     assert tables.WRITE_SETTINGS["readings_raw"] == tables.WriteSettings(100, 200, 3)
     assert alerts.CONSECUTIVE_THRESHOLD == 3
