@@ -24,20 +24,31 @@ class HotRunCounter(StatefulProcessor):
         self.run = handle.getValueState("run", "length int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # One row per closed window of the room: time bounds it, not readings.
-        windows = pd.concat(list(rows)).sort_values(["bucket_ms", "max_temp"], kind="stable")
+        # Copies collapse chunk by chunk: what is held is one row per closed
+        # window of the room, which time bounds.
+        cells = ["bucket_ms", "max_temp"]
+        parts = [part.groupby(cells, dropna=False).size().reset_index(name="copies")
+                 for part in rows]
+        windows = pd.concat(parts).groupby(cells, dropna=False, as_index=False)["copies"].sum()
+        windows = windows.sort_values(cells)
         carried = self.run.get()[0] if self.run.exists() else 0
         hot = windows["max_temp"].to_numpy() > self.threshold  # false for NaN
-        hots = np.cumsum(hot)
+        copies = np.where(hot, windows["copies"].to_numpy(), 0)
+        hots = np.cumsum(copies)
         base = np.maximum.accumulate(np.where(hot, -carried, hots))
-        length = np.where(hot, hots - base, 0).astype("int32")
-        self.run.update((int(length[-1]),))
-        alert = hot & (length >= self.consecutive)
+        before = hots - copies - base  # length of the run ahead of each hot window
+        self.run.update((int((before + copies)[-1]) if hot[-1] else 0,))
+        at = np.repeat(np.arange(len(windows)), copies)
+        length = before[at] + np.arange(len(at)) - (hots - copies)[at] + 1
+        raised = length >= self.consecutive
+        at = at[raised]
+        if not len(at):
+            return
         yield pd.DataFrame({
-            "room": windows["room"].to_numpy()[alert],
-            "window_start_ms": windows["bucket_ms"].to_numpy()[alert],
-            "max_temp": windows["max_temp"].to_numpy()[alert],
-            "consecutive_count": length[alert],
+            "room": np.full(len(at), key[0], dtype=object),
+            "window_start_ms": windows["bucket_ms"].to_numpy()[at],
+            "max_temp": windows["max_temp"].to_numpy()[at],
+            "consecutive_count": length[raised].astype("int32"),
         })
 
     def close(self) -> None:
