@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelvane.llm import byte_pairs, host_quality, token_counts, vector_file
+from kelvane.llm import (
+    byte_pairs, host_quality, personal_data, token_counts, toxicity, vector_file,
+)
 from kelvane.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +46,18 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 
+@_query
+def op6_personal_data(spark, folder):
+    """Spans of personal data in every document: counts and digest of the strict ones, and all."""
+    found = personal_data.find(table(spark, folder, "documents"))
+    strict = F.filter("spans", lambda x: x["base"])
+    count = lambda kind: F.size(F.filter(strict, lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in personal_data.STRICT],
+        F.sha2(personal_data.written(strict), 256).alias("base_sha256"),
+        personal_data.written(F.col("spans")).alias("spans"))
+
+
 @_query
 def op7_quality_rules(spark, folder):
     """Rule counts and verdict of every document, with its source as the host."""
@@ -113,6 +127,12 @@ def op8_token_counts(spark, folder):
         table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_query
+def op9_toxicity(spark, folder):
+    """Toxicity score of every document, learned from the labelled ones that are not held out."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @_query
 def op10_byte_pairs(spark, folder):
     """Identifiers and decoded text of every document, as digests."""
