@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, host_quality, personal_data, token_counts, toxicity, vector_file,
+    byte_pairs, host_quality, near_duplicates, personal_data, token_counts, toxicity, vector_file,
 )
 from kelvane.llm.common import table
 
@@ -22,6 +22,12 @@ def _query(function):
     return function
 
 
+@_query
+def op1_near_duplicates(spark, folder):
+    """The near-duplicate class of every document."""
+    return near_duplicates.classes(table(spark, folder, "documents"))
+
+
 @_query
 def op5_exact_top_k(spark, folder):
     """The 5 best other rows by inner product, for every vec_id divisible by 50."""
