@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.session import shared_root, tune
@@ -59,3 +60,31 @@ def map_batches(rows: DataFrame, schema: str,
                     schema=arrow)
 
     return rows.mapInArrow(run, schema)
+
+
+def batch_column(values: Column, kind: str, start: Callable[[], Callable[[list], list]]) -> Column:
+    """A column worked out per Arrow batch; the other columns stay in the JVM.
+
+    ``start`` runs once per task. For a struct its function gives a tuple of
+    lists, one for each field.
+    """
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        function = start()
+        for batch in batches:
+            yield pd.Series(function(batch.tolist()), dtype=object)
+
+    def run_struct(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        function = start()
+        for batch in batches:
+            yield pd.DataFrame(dict(zip(names, function(batch.tolist()))))
+
+    names = [field.strip().split(" ")[0] for field in kind.split(",")] if ", " in kind else []
+    return F.pandas_udf(run_struct if names else run, kind)(values)
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column is called so."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

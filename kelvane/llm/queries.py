@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, host_quality, near_duplicates, personal_data, token_counts, toxicity, vector_file,
+    byte_pairs, host_quality, mixing, near_duplicates, personal_data, pseudo_likelihood, token_counts,
+    toxicity, vector_file,
 )
 from kelvane.llm.common import table
 
@@ -28,6 +29,29 @@ def op1_near_duplicates(spark, folder):
     return near_duplicates.classes(table(spark, folder, "documents"))
 
 
+@_query
+def op2_pseudo_likelihood(spark, folder):
+    """Log-likelihood of every document under a network trained on all of them."""
+    return pseudo_likelihood.score_corpus(table(spark, folder, "documents"))
+
+
+# Shares of tokens that the languages shall have.
+LANGUAGES = {"de": 0.2, "en": 0.5, "es": 0.15, "fr": 0.15}
+
+
+def labelled_languages(spark, folder) -> DataFrame:
+    """The language of the labelled documents of good quality."""
+    good = table(spark, folder, "labels").filter("quality = 1").select("doc_id").distinct()
+    return table(spark, folder, "documents").select("doc_id", F.col("lang").alias("domain")).join(
+        good, "doc_id", "left_semi")
+
+
+@_query
+def op4_mixing(spark, folder):
+    """Rate of every document for the target shares of the languages."""
+    return mixing.mix(table(spark, folder, "documents"), labelled_languages(spark, folder), LANGUAGES)
+
+
 @_query
 def op5_exact_top_k(spark, folder):
     """The 5 best other rows by inner product, for every vec_id divisible by 50."""

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelvane.llm.common import map_batches, picked
+from kelvane.llm.common import batch_column, picked, unused
 
 WORD = re.compile(r"\w+")
 LENGTH, STRIDE = 32, 24
@@ -433,33 +433,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(list(unique), list(unique.values()))
 
 
-def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text",
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the ``keep`` columns and ``score`` for every row.
+def score(text: Column, net: Network) -> Column:
+    """The score of a text column; it sees nothing else.
 
-    The score sees nothing but the text. Null and empty texts get the score of a
-    window without words; repeated rows are each returned; an empty table gives
-    no rows. Without labels of both classes every row gets one constant.
+    Null and empty texts get the score of a window without words. Without labels
+    of both classes every text gets one constant.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *[f"`{c}`" for c in keep],
-                       F.col(f"`{text_col}`").alias("_text"))
-    kinds = ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes[:-1])
+    return batch_column(text, "double", lambda: Scorer(net).scores)
 
-    def start():
-        scorer = Scorer(net)
 
-        def run(columns):
-            return [*columns[:-1], scorer.scores(columns[-1])]
-
-        return run
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
+             text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
-    return map_batches(rows, f"{kinds}, score double", start)
+    Repeated rows are each returned, null ids are not held out, an empty table
+    gives no rows.
+    """
+    net = fit(docs, labels, id_col, text_col, label_col)
+    rows = picked(docs, doc_id=id_col, text=text_col)
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                       score(F.col("text"), net).alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
              text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+    """The rows of ``docs`` whose score stays below the threshold, as they are."""
     net = fit(docs, labels, id_col, text_col, label_col)
-    return score(docs, net, id_col, text_col).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+    name = unused(docs, "score")
+    scored = docs.withColumn(name, score(F.col(f"`{text_col}`"), net))
+    return scored.filter(F.col(name) < threshold).drop(name)
