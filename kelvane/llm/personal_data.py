@@ -141,23 +141,21 @@ def _voted(kind: str, text: Column, spans: Column, strict: bool) -> Column:
         F.least(F.floor((x["e"] - x["s"]) / 8), F.lit(3)).cast("int").alias("size")))
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, spans``: the strict spans and the proposed ones clear of them."""
-    rows = picked(docs, doc_id=id_col, text=text_col).select(
-        "doc_id", F.translate(F.coalesce("text", F.lit("")), MARK, "\x02").alias("text"))
+def candidates(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns and ``spans``: the strict spans of the column ``text``
+    and the proposed ones clear of them, with their votes."""
+    rows = rows.select(*keep, F.translate(F.coalesce("text", F.lit("")), MARK, "\x02").alias("text"))
     text = F.col("text")
     meets = lambda kind: lambda x: _strict(kind, x["t"])
     found = {f"strict_{k}": F.filter(_matches(text, p, HINT[k]), meets(k)) for k, p in STRICT.items()}
     found |= {f"loose_{k}": _matches(text, p, HINT[k]) for k, p in LOOSE.items()}
-    rows = computed_once(rows, ["doc_id", "text"], **found)
-    strict = F.concat(*[F.col(f"strict_{k}") for k in STRICT])
-    rows = rows.withColumn("strict", strict)
+    rows = computed_once(rows, [*keep, "text"], **found)
+    rows = rows.withColumn("strict", F.concat(*[F.col(f"strict_{k}") for k in STRICT]))
     clear = {k: F.filter(f"loose_{k}", lambda x: ~F.exists(
         "strict", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))) for k in LOOSE}
-    rows = rows.select("doc_id", F.concat(
+    return rows.select(*keep, F.concat(
         *[_voted(k, text, F.col(f"strict_{k}"), True) for k in STRICT],
         *[_voted(k, text, spans, False) for k, spans in clear.items()]).alias("spans"))
-    return rows
 
 
 @dataclass(frozen=True)
@@ -230,6 +228,23 @@ def learn(patterns: list[dict], rounds: int = 40, steps: int = 300) -> Judgement
     return Judgement({n: tuple(r) for n, r in rate.items()}, {KINDS[k]: p for k, p in prior.items()}, weights)
 
 
+def judge(rows: DataFrame) -> Judgement:
+    """Learn from all ``spans``; the driver gets the counts of vote patterns."""
+    features = ["k", *LABELERS, "size"]
+    patterns = rows.select(F.explode("spans").alias("x")).select("x.*").groupBy(
+        *features).agg(F.count(F.lit(1)).alias("n")).collect()
+    return learn(sorted((r.asDict() for r in patterns), key=lambda r: [r[f] for f in features]))
+
+
+def _decided(spans: Column, judged: Judgement) -> Column:
+    taken = F.filter(spans, lambda x: x["base"] | (judged.log_odds(x) >= 0))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    ordered = F.sort_array(F.transform(taken, lambda x: F.struct(
+        x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["base"].alias("base"))))
+    return F.transform(ordered, lambda x: F.struct(
+        F.get(names, x["k"]).alias("kind"), x["s"].alias("start"), x["e"].alias("end"), x["base"].alias("base")))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, spans`` for every row: array of ``kind, start, end, base``.
 
@@ -239,18 +254,20 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Null and empty texts have no spans; repeated rows are each returned; an
     empty table gives no rows and learns nothing.
     """
-    rows = saved(candidates(docs, id_col, text_col))
-    features = ["k", *LABELERS, "size"]
-    patterns = [r.asDict() for r in rows.select(F.explode("spans").alias("x")).select("x.*").groupBy(
-        *features).agg(F.count(F.lit(1)).alias("n")).collect()]
-    judged = learn(sorted(patterns, key=lambda r: [r[f] for f in features]))
-    taken = F.filter("spans", lambda x: x["base"] | (judged.log_odds(x) >= 0))
-    names = F.array(*[F.lit(k) for k in KINDS])
-    ordered = F.sort_array(F.transform(taken, lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"),
-                                                                x["e"].alias("e"), x["base"].alias("base"))))
-    return rows.select("doc_id", F.transform(ordered, lambda x: F.struct(
-        F.get(names, x["k"]).alias("kind"), x["s"].alias("start"), x["e"].alias("end"),
-        x["base"].alias("base"))).alias("spans"))
+    rows = saved(candidates(picked(docs, doc_id=id_col, text=text_col), ["doc_id"]))
+    return rows.select("doc_id", _decided(F.col("spans"), judge(rows)).alias("spans"))
+
+
+def with_spans(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with their spans as a further column.
+
+    Patterns run once for the votes and once for the result: cheaper than
+    shuffling whole texts to meet their spans.
+    """
+    whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
+                        F.col(f"`{text_col}`").alias("text"))
+    rows = candidates(whole, ["row"])
+    return rows.select("row.*", _decided(F.col("spans"), judge(rows)).alias(name))
 
 
 def written(spans: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, host_quality, mixing, near_duplicates, personal_data, pseudo_likelihood, token_counts,
+    byte_pairs, host_quality, licenses, mixing, near_duplicates, personal_data, pseudo_likelihood, token_counts,
     toxicity, vector_file,
 )
 from kelvane.llm.common import table
@@ -35,21 +35,98 @@ def op2_pseudo_likelihood(spark, folder):
     return pseudo_likelihood.score_corpus(table(spark, folder, "documents"))
 
 
+def document_paths(spark, folder) -> DataFrame:
+    """Documents as files: source and language are their directories."""
+    docs = table(spark, folder, "documents")
+    part = lambda c: F.coalesce(F.col(c), F.lit("_"))
+    return docs.withColumn("path", F.concat_ws("/", part("source"), part("lang"), F.col("doc_id").cast("string")))
+
+
+@_query
+def op3_licenses(spark, folder):
+    """Licence of every document, its own or that of the nearest directory."""
+    return licenses.scan(document_paths(spark, folder))
+
+
+_NOTICE_TEMPLATES = ", ".join(
+    f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
+
+SQL["op3_licenses"] = rf"""
+WITH files AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+    coalesce(source, '_') || '/' || coalesce(lang, '_') AS dir,
+    concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), CAST(doc_id AS VARCHAR)) AS path
+  FROM documents
+), lines AS (
+  SELECT k, unnest(string_split(text, chr(10))) AS line FROM files
+), notices AS (
+  SELECT row_number() OVER () AS u, k, tok FROM (
+    SELECT k, regexp_extract_all(lower(line), '{licenses.TOKEN}') AS tok FROM lines
+    WHERE regexp_matches(line, '{licenses.NOTICE}')) WHERE len(tok) > 0
+), templates AS (
+  SELECT ord, name, regexp_extract_all(lower(text), '{licenses.TOKEN}') AS tok
+  FROM (VALUES {_NOTICE_TEMPLATES}) AS t(ord, name, text)
+), units AS (SELECT tok FROM notices UNION ALL SELECT tok FROM templates),
+total AS (SELECT count(*) AS n FROM units),
+known AS (SELECT DISTINCT unnest(tok) AS t FROM templates),
+idf AS (
+  SELECT t, ln((1 + (SELECT n FROM total)) / (1 + count(*))) + 1 AS w
+  FROM (SELECT unnest(list_distinct(tok)) AS t FROM units) JOIN known USING (t) GROUP BY t
+), notice_weights AS (
+  SELECT u, x.t, tf * coalesce(w, ln(1 + (SELECT n FROM total)) + 1) AS w FROM (
+    SELECT u, t, count(*) AS tf FROM (SELECT u, unnest(tok) AS t FROM notices) GROUP BY u, t) x
+  LEFT JOIN idf ON x.t = idf.t
+), template_weights AS (
+  SELECT ord, x.t, tf * w AS w FROM (
+    SELECT ord, t, count(*) AS tf FROM (SELECT ord, unnest(tok) AS t FROM templates) GROUP BY ord, t) x
+  JOIN idf ON x.t = idf.t
+), cosines AS (
+  SELECT u, ord, round(sum(a.w * b.w) / any_value(norm_u) / any_value(norm_t), 6) AS score
+  FROM notice_weights a JOIN template_weights b ON a.t = b.t
+  JOIN (SELECT u, sqrt(sum(w * w)) AS norm_u FROM notice_weights GROUP BY u) USING (u)
+  JOIN (SELECT ord, sqrt(sum(w * w)) AS norm_t FROM template_weights GROUP BY ord) USING (ord)
+  GROUP BY u, ord
+), best AS (
+  SELECT k, name, score, size FROM (
+    SELECT n.k, t.name, c.score, len(n.tok) AS size,
+      row_number() OVER (PARTITION BY n.k ORDER BY c.score DESC, c.ord, len(n.tok) DESC) AS r
+    FROM cosines c JOIN notices n USING (u) JOIN templates t USING (ord)) WHERE r = 1 AND score >= {licenses.THRESHOLD}
+), own AS (
+  SELECT f.k, f.doc_id, f.path, f.dir, b.name, b.score,
+    coalesce(b.size / len(regexp_extract_all(lower(f.text), '{licenses.TOKEN}')), 0) AS covers
+  FROM files f LEFT JOIN best b ON f.k = b.k
+), given AS (
+  SELECT dir, name FROM (
+    SELECT dir, name, row_number() OVER (PARTITION BY dir ORDER BY score DESC, name DESC) AS r
+    FROM own WHERE name IS NOT NULL AND covers >= 0.5) WHERE r = 1
+), nearest AS (
+  SELECT dir, source_dir, name AS given FROM (
+    SELECT d.dir, g.dir AS source_dir, g.name,
+      row_number() OVER (PARTITION BY d.dir ORDER BY length(g.dir) DESC) AS r
+    FROM (SELECT DISTINCT dir FROM own) d JOIN given g ON d.dir = g.dir OR starts_with(d.dir, g.dir || '/')) WHERE r = 1
+)
+SELECT o.doc_id, o.path, CAST(coalesce(c.n, 0) AS INTEGER) AS n_notices, o.name AS own_license, o.score,
+  coalesce(o.name, n.given) AS license, CASE WHEN o.name IS NULL THEN n.source_dir END AS inherited_from
+FROM own o LEFT JOIN nearest n ON o.dir = n.dir
+LEFT JOIN (SELECT k, count(*) AS n FROM notices GROUP BY k) c ON o.k = c.k
+"""
+
+
 # Shares of tokens that the languages shall have.
 LANGUAGES = {"de": 0.2, "en": 0.5, "es": 0.15, "fr": 0.15}
 
 
-def labelled_languages(spark, folder) -> DataFrame:
+def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The language of the labelled documents of good quality."""
-    good = table(spark, folder, "labels").filter("quality = 1").select("doc_id").distinct()
-    return table(spark, folder, "documents").select("doc_id", F.col("lang").alias("domain")).join(
-        good, "doc_id", "left_semi")
+    good = labels.filter("quality = 1").select("doc_id").distinct()
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(good, "doc_id", "left_semi")
 
 
 @_query
 def op4_mixing(spark, folder):
     """Rate of every document for the target shares of the languages."""
-    return mixing.mix(table(spark, folder, "documents"), labelled_languages(spark, folder), LANGUAGES)
+    docs = table(spark, folder, "documents")
+    return mixing.mix(docs, labelled_languages(docs, table(spark, folder, "labels")), LANGUAGES)
 
 
 @_query
