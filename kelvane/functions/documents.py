@@ -11,18 +11,29 @@ def valid_text(value: Column) -> Column:
     return F.try_validate_utf8(value.cast("string"))
 
 
-def whole_document(text: Column) -> Column:
+def _mark(text: Column) -> Column:
+    return F.hex(F.xxhash64(text))
+
+
+def framed(text: Column) -> Column:
+    """The text parsed inside brackets, followed by its own hash.
+
+    The parser stops behind the first value; so anything behind it breaks the
+    array or takes the place of the hash.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), _mark(text), F.lit('"]')))
+
+
+def whole_document(text: Column, frame: Column | None = None) -> Column:
     """The document, or null where ``text`` is not one JSON value and nothing else.
 
-    The parser stops behind the first value. The text is therefore parsed
-    inside brackets, followed by its own hash: anything behind the value
-    breaks the array or takes the place of the hash.
+    ``frame`` is ``framed(text)`` where it is at hand as a column: both of its
+    elements are looked at, and it should not be parsed for each.
     """
-    mark = F.hex(F.xxhash64(text))
-    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    frame = framed(text) if frame is None else frame
     return F.when(
-        F.try_variant_get(framed, "$[1]", "string") == mark,
-        F.try_variant_get(framed, "$[0]", "variant"))
+        F.try_variant_get(frame, "$[1]", "string") == _mark(text),
+        F.try_variant_get(frame, "$[0]", "variant"))
 
 
 def looks_like_object(text: Column) -> Column:

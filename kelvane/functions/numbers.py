@@ -13,11 +13,13 @@ def numeric_round(col: Column, digits: int) -> Column:
 
     A double turns into ``numeric`` through its first 15 significant digits,
     so the noise of a summation order cannot tip a half over. Values that
-    have no numeric form pass through.
+    have no numeric form pass through, as do those from 1e23 on: at that size a
+    double is a whole number.
     """
-    as_decimal = F.format_string("%.14e", col).cast("decimal(38,15)")
-    special = col.isNull() | F.isnan(col) | col.isin(INF, -INF)
-    return F.when(special, col).otherwise(F.round(as_decimal, digits).cast("double"))
+    as_decimal = F.format_string("%.14e", col).try_cast("decimal(38,15)")
+    special = F.isnan(col) | col.isin(INF, -INF)
+    return F.when(special, col).otherwise(
+        F.coalesce(F.round(as_decimal, digits).cast("double"), col))
 
 
 def infinite_to_zero(col: Column) -> Column:

@@ -18,14 +18,6 @@ def width_ms(width: str) -> int:
     return int(match[1]) * MS_PER_UNIT[match[2]]
 
 
-def event_date(time: Column) -> Column:
-    return F.to_date(time)
-
-
-def from_ms(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
-
-
 def to_ms(time: Column) -> Column:
     return F.unix_millis(time)
 

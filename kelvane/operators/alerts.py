@@ -34,18 +34,21 @@ def hot_runs(
     """
     # The rows feed two branches. This filter and the outer join below keep the
     # optimizer from adding its own to one of them, so that both share a shuffle.
-    rows = window_results.filter(F.col("room").isNotNull())
+    rows = window_results.filter(F.col("room").isNotNull()).withColumn(
+        "_chunk", floor_ms(F.col("bucket_ms"), width_ms(chunk)))
+    # The one shuffle: whatever follows groups by room, chunk and more.
+    rows = rows.repartition("room", "_chunk")
     if dedupe:
-        rest = [c for c in rows.columns if c not in ("room", "bucket_ms")]
-        rows = rows.groupBy("room", "bucket_ms").agg(
+        rest = [c for c in window_results.columns if c not in ("room", "bucket_ms")]
+        rows = rows.groupBy("room", "_chunk", "bucket_ms").agg(
             F.max_by(F.struct(*rest), "max_temp").alias("_r")).select(
-            "room", "bucket_ms", "_r.*", F.lit(1).alias("_copies"))
+            "room", "_chunk", "bucket_ms", "_r.*", F.lit(1).alias("_copies"))
     else:
-        # Copies travel and are counted as one row and part again at the end.
-        rows = rows.groupBy(*window_results.columns).agg(F.count("*").alias("_copies"))
+        # Copies count as one row and part again at the end.
+        rows = rows.groupBy("room", "_chunk", *[c for c in window_results.columns if c != "room"]).agg(
+            F.count("*").alias("_copies"))
     hot = exceeds(F.col("max_temp"), threshold)
-    rows = rows.withColumn("_hot", F.when(hot, F.col("_copies")).otherwise(0)).withColumn(
-        "_chunk", floor_ms(F.col("bucket_ms"), width_ms(chunk)))
+    rows = rows.withColumn("_hot", F.when(hot, F.col("_copies")).otherwise(0))
 
     ordered = Window.partitionBy("room", "_chunk").orderBy("bucket_ms", "max_temp")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)

@@ -17,23 +17,22 @@ STRICT = {
 }
 
 
-def to_messages(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows as (key, value): the room's bytes and a JSON document.
-
-    Keying by room keeps the results of a room in order on their topic.
-    """
+def to_messages(rows: DataFrame, schema: T.StructType, ordinal: str) -> DataFrame:
+    """Rows as (key, value, ordinal): the room's bytes, a JSON document and the
+    place among the messages of the room, which topic writers keep."""
     return rows.filter(F.col("room").isNotNull()).select(
         F.col("room").cast("binary").alias("key"),
         F.to_json(F.struct(*schema.names), {"ignoreNullFields": "false"}).alias("value"),
+        F.col(ordinal).alias("ordinal"),
     )
 
 
 def window_messages(window_results: DataFrame) -> DataFrame:
-    return to_messages(window_results, schemas.WINDOW_RESULT)
+    return to_messages(window_results, schemas.WINDOW_RESULT, "bucket_ms")
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    return to_messages(alerts, schemas.ALERT)
+    return to_messages(alerts, schemas.ALERT, "window_start_ms")
 
 
 def read_messages(

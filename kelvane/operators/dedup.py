@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that comes first in ``order``.
 
-    An aggregate rather than a ranking: copies of a key collapse before the
-    shuffle, however many there are.
+    A ranking of which only the first place is asked: each task keeps one row of
+    a key before the shuffle, however many copies there are.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    picked = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
-    return picked.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in rows.columns])
+    place = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_place", F.row_number().over(place)).filter("_place = 1").drop("_place")

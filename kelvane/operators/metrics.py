@@ -16,9 +16,6 @@ METRICS = {
     "room.pressure": ("pressure", "hPa", "Room atmospheric pressure in hPa"),
 }
 
-# Fixed value: the service named in the resource attributes.
-SERVICE_NAME = "room-temperature-gateway"
-
 
 def metric_rows(readings: DataFrame, ids: tuple[str, ...] = ("sensor_id", "room", "ts_nanos")) -> DataFrame:
     """Wide readings to one row per metric: ids, ``metric``, ``value``."""
@@ -60,12 +57,16 @@ def sampled_snapshot(
     arrival_time: str = "arrival_time",
     arrival: tuple[str, ...] = ("arrival",),
     until: Column | None = None,
+    start: Column | None = None,
+    chunk: str = "7 days",
 ) -> DataFrame:
     """The snapshot at every tick: last value of each (sensor, room) seen before it.
 
-    Batch input only. The window below sees one row per key and tick with news,
-    never raw readings; repeats are generated from those rows without a shuffle.
-    ``until`` is the last tick, by default that of the last arrival.
+    Batch input only. The window below sees one row per key and tick with news
+    in a chunk of time, never raw readings; one row per key and chunk tells when
+    the next news come. Repeats are generated from those rows without a shuffle,
+    from ``start`` on, by default the first news, up to ``until``, by default the
+    tick of the last arrival.
     """
     step = width_ms(period)
     ms = F.unix_millis(arrival_time)
@@ -75,15 +76,26 @@ def sampled_snapshot(
         last = readings.select(F.max(ms).alias("ms")).scalar()
     else:
         last = F.unix_millis(until) - step
-    per_key = Window.partitionBy("sensor_id", "room").orderBy("tick_ms")
-    upto = F.coalesce(F.lead("tick_ms").over(per_key) - step, floor_ms(last, step) + step)
+    keys = ["sensor_id", "room"]
+    news = news.withColumn("_chunk", floor_ms(F.col("tick_ms"), width_ms(chunk)))
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("tick_ms")
+    chunks = news.groupBy(*keys, "_chunk").agg(F.min("tick_ms").alias("_first")).withColumn(
+        "_next", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")))
+    coming = F.coalesce(F.lead("tick_ms").over(in_chunk), "_next") - step
+    upto = F.coalesce("_coming", floor_ms(last, step) + step)
+    since = F.col("tick_ms")
+    if start is not None:
+        # The first tick at or behind the start.
+        since = F.greatest(since, -floor_ms(-F.unix_millis(start), step))
+        upto = F.least(upto, floor_ms(last, step) + step)
     return (
-        news.withColumn("_upto", upto)
-        .filter(F.col("_upto") >= F.col("tick_ms"))
+        news.join(chunks.drop("_first"), [*keys, "_chunk"]).withColumn("_coming", coming)
+        .withColumns({"_upto": upto, "_since": since})
+        .filter(F.col("_upto") >= F.col("_since"))
         .withColumn("tick_ms", F.explode(F.sequence(
-            "tick_ms", "_upto", F.lit(step).cast("bigint"))))
+            "_since", "_upto", F.lit(step).cast("bigint"))))
         .withColumn("tick", F.timestamp_millis("tick_ms"))
-        .drop("_upto", "tick_ms")
+        .drop("_upto", "_since", "_coming", "_next", "_chunk", "tick_ms")
     )
 
 
@@ -96,9 +108,9 @@ def point_attributes(sensor_id: Column, room: Column, ts_nanos: Column) -> Colum
     )
 
 
-def resource_attributes(version: str = "1") -> Column:
+def resource_attributes(service: str = "sensor-service", version: str = "1") -> Column:
     return F.array(
-        A.attribute("service.name", text=F.lit(SERVICE_NAME)),
+        A.attribute("service.name", text=F.lit(service)),
         A.attribute("service.version", text=F.lit(version)),
     )
 
@@ -124,17 +136,14 @@ def resource(attrs: Column, metrics: Column) -> Column:
     )
 
 
-def assemble_batches(snapshots: DataFrame, max_sensors: int = 1000) -> DataFrame:
+def assemble_batches(snapshots: DataFrame, shards: int = 1) -> DataFrame:
     """Nested batches per tick: (tick, shard, resource_metrics).
 
-    If any tick has more than ``max_sensors`` readings, ticks are split over
-    several batches by a hash of the sensor, so a message stays small however
-    many sensors report. Each (sensor, room) occurs once per tick, so the
-    shards come out even. Batch input only.
+    One message a tick by default. With more ``shards`` each tick is split into
+    up to so many messages by a hash of sensor and room, whatever the number of
+    readings, so that a message stays small where many sensors report.
     """
-    largest = snapshots.groupBy("tick").count().select(F.max("count")).scalar()
-    shards = F.greatest(F.ceil(largest / F.lit(max_sensors)), F.lit(1))
-    placed = snapshots.withColumn("shard", F.pmod(F.xxhash64("sensor_id", "room"), shards))
+    placed = snapshots.withColumn("shard", F.pmod(F.xxhash64("sensor_id", "room"), F.lit(shards)))
     grouped = placed.groupBy("tick", "shard").agg(F.array_sort(F.collect_list(F.struct(
         "sensor_id", "room", "ts_nanos", "temp_c", "humidity", "pressure"))).alias("_items"))
     tick_nanos = F.unix_micros("tick") * 1000

@@ -6,10 +6,10 @@ closing brace, so the payload is read as VARIANT, which keeps the JSON types.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from kelvane.functions.documents import json_type, looks_like_object, valid_text, whole_document
+from kelvane.functions.documents import framed, looks_like_object, valid_text, whole_document
 from kelvane.functions.once import computed_once
 
 # Fixed values of payload version 1.
@@ -34,15 +34,19 @@ def parse_payloads(messages: DataFrame, value: str = "value") -> DataFrame:
 
     Exactly one of the two is null. ``value`` is a binary or string column.
     """
-    parsed = messages.withColumn("_text", valid_text(F.col(value))).withColumn(
-        "_doc", whole_document(F.col("_text")))
-    doc = F.col("_doc")
-    typed = parsed.withColumn("_raw", F.struct(
-        *[json_type(doc, f).alias(f"{f}_type") for f in FIELDS],
-        *[F.try_variant_get(doc, f"$.{f}", "string").alias(f) for f in TEXT_FIELDS],
-        *[F.try_variant_get(doc, f"$.{f}", "double").alias(f) for f in NUMBER_FIELDS],
-        F.try_variant_get(doc, f"$.{TIME_FIELD}", "bigint").alias(TIME_FIELD),
-    ))
+    own = messages.columns
+    # Each step is worked out once: the text, its one parse, one look-up a field.
+    parsed = computed_once(messages, own, _text=valid_text(F.col(value)))
+    parsed = computed_once(parsed, [*own, "_text"], _framed=framed(F.col("_text")))
+    parsed = computed_once(parsed, [*own, "_text"], _doc=whole_document(F.col("_text"), F.col("_framed")))
+    doc, fields = F.col("_doc"), {f: f"_{f}" for f in FIELDS}
+    found = computed_once(parsed, [*own, "_text", "_doc"], **{
+        name: F.try_variant_get(doc, f"$.{f}", "variant") for f, name in fields.items()})
+    kinds = {**dict.fromkeys(TEXT_FIELDS, "string"), **dict.fromkeys(NUMBER_FIELDS, "double"),
+             TIME_FIELD: "bigint"}
+    typed = found.withColumn("_raw", F.struct(
+        *[F.schema_of_variant(name).alias(f"{f}_type") for f, name in fields.items()],
+        *[F.try_variant_get(F.col(name), "$", kinds[f]).alias(f) for f, name in fields.items()]))
     raw = F.col("_raw")
     reason = F.when(F.col(value).isNull() | (F.octet_length(value) == 0), "empty")
     reason = reason.when(F.col("_text").isNull(), "invalid_utf8")
@@ -86,11 +90,14 @@ def rejected(parsed: DataFrame, value: str = "value", keep: tuple[str, ...] = ()
     )
 
 
-def count_outcomes(parsed: DataFrame, name: str = "payloads") -> DataFrame:
-    """Attach accepted/rejected counters that arrive with the query metrics."""
+def count_outcomes(parsed: DataFrame, seen: Observation | str = "payloads") -> DataFrame:
+    """Attach counters of accepted and rejected payloads.
+
+    They arrive in ``seen`` or, for a name, with the metrics of the query.
+    """
     bad = F.col("reject_reason").isNotNull()
     return parsed.observe(
-        name,
+        seen,
         F.count_if(~bad).alias("accepted"),
         F.count_if(bad).alias("rejected"),
     )

@@ -51,8 +51,8 @@ def refresh_hourly(
     """Recompute the buckets of the refresh range; others stay as stored.
 
     Reads only the dates the range touches and replaces only those date
-    partitions. The result is checkpointed first, as it is written over a
-    table it reads.
+    partitions; a date that has no bucket any more is replaced by nothing. The
+    result is checkpointed first, as it is written over a table it reads.
     """
     low, high = refresh_range(now, start_offset, end_offset)
     if low >= high:
@@ -66,5 +66,11 @@ def refresh_hourly(
     stored = spark.read.schema(schemas.HOURLY_TEMP).parquet(rollup_path)
     kept = stored.filter(dates & ((F.col("bucket") < t0) | (F.col("bucket") >= t1)))
     merged = fresh.unionByName(kept).checkpoint()
+    had = {r.event_date for r in stored.filter(dates).select("event_date").distinct().collect()}
     merged.hint("rebalance", F.col("event_date")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(rollup_path)
+    # Dynamic overwriting leaves dates without rows alone.
+    has = {r.event_date for r in merged.select("event_date").distinct().collect()}
+    nothing = spark.createDataFrame([], schemas.HOURLY_TEMP).drop("event_date")
+    for day in sorted(had - has):
+        nothing.write.mode("overwrite").parquet(f"{rollup_path}/event_date={day}")

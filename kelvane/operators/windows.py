@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from kelvane.functions.numbers import infinite_to_zero
 from kelvane.functions.times import floor_ms, to_ms, width_ms
-from kelvane.session import shared_root
 
-# Largest table of window ends sent to every executor (24 bytes a row).
-MAX_BROADCAST_ENDS = 1_000_000
+# Widths in a chunk of the running minimum.
+CHUNK = 10_000
 
 
 def tumble(readings: DataFrame, width: str = "5 minutes", watermark: str | None = None) -> DataFrame:
@@ -62,8 +61,7 @@ def with_lateness(
     its end. That arrival is found per window from one aggregate over buckets
     of delayed event time and a running minimum over those buckets, so neither
     readings nor arrivals are ever sorted. ``arrival`` is any orderable column;
-    equal values count as simultaneous. Batch input only. The table of window
-    ends is computed on the call, and broadcast if its count allows.
+    equal values count as simultaneous. Batch input only.
     """
     step, wait = width_ms(width), width_ms(delay)
     ms = to_ms(F.col("time"))
@@ -81,16 +79,20 @@ def with_lateness(
                           ).unionByName(ends.select(
         "_at", F.lit(None).cast(firsts.schema["_first"].dataType).alias("_first"),
         F.lit(True).alias("_is_end")))
-    onward = Window.orderBy(F.desc("_at"), "_is_end").rowsBetween(Window.unboundedPreceding, 0)
+    # A running minimum from the last bucket back, per chunk of time, and from
+    # one summary row per chunk what the later chunks add.
+    marks = marks.withColumn("_chunk", floor_ms(F.col("_at"), CHUNK * step))
+    onward = Window.partitionBy("_chunk").orderBy(F.desc("_at"), "_is_end").rowsBetween(
+        Window.unboundedPreceding, 0)
+    later = Window.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = marks.groupBy("_chunk").agg(F.min("_first").alias("_least")).select(
+        "_chunk", F.min("_least").over(later).alias("_later"))
     closing = (
         marks.withColumn("_closed_by", F.min("_first").over(onward))
-        .filter("_is_end")
-        .select((F.col("_at") - step).alias("_bucket"), "_closed_by")
+        .filter("_is_end").join(chunks, "_chunk")
+        .select((F.col("_at") - step).alias("_bucket"),
+                F.least("_closed_by", "_later").alias("_closed_by"))
     )
-    shared_root(readings.sparkSession)
-    closing = closing.checkpoint()
-    if closing.count() <= MAX_BROADCAST_ENDS:
-        closing = F.broadcast(closing)
     return (
         bucketed.join(closing, "_bucket", "left")
         .withColumn("late", F.coalesce(F.col(arrival) > F.col("_closed_by"), F.lit(False)))

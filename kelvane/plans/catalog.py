@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,7 +216,8 @@ def series_1min(spark, folder):
 
 
 def series_1min_filtered(spark, folder):
-    return _series(dashboard.series_by_minute(fx.readings(spark, folder), ROOMS, START, END))
+    rows = fx.readings(spark, folder, START, END)
+    return _series(dashboard.series_by_minute(rows, ROOMS, START, END))
 
 
 def series_5min_labelled(spark, folder):
@@ -224,8 +225,17 @@ def series_5min_labelled(spark, folder):
 
 
 def series_hourly(spark, folder):
-    stored = rollup.hourly(fx.readings(spark, folder))
-    return _series(dashboard.series_by_hour(stored, ROOMS, START, END))
+    # Whole hours: the last bucket may start at the end of the range.
+    rows = fx.readings(spark, folder, START, END + timedelta(hours=1))
+    return _series(dashboard.series_by_hour(rollup.hourly(rows), ROOMS, START, END))
+
+
+def series_extreme_values(spark, folder):
+    """The 1-minute series with a temperature of up to 1e300 in every 50th reading."""
+    wild = F.when(F.col("arrival") % 50 == 0, F.lit(1e300) / (1 + F.col("arrival") % 7)).otherwise(
+        F.when(F.col("arrival") % 50 == 1, F.lit(-1e23)).otherwise(F.col("temp_c")))
+    rows = fx.readings(spark, folder).withColumn("temp_c", wild)
+    return _series(dashboard.series_by_minute(rows))
 
 
 def series_pivot(spark, folder):
@@ -292,6 +302,12 @@ DASHBOARD = {
     "series_5min_labelled": Query(series_5min_labelled, _with(q.windows(), select=f"""
         SELECT bucket_ms AS time_ms, room || ' avg' AS metric, {q.num('avg_temp', 2)} AS value
         FROM w UNION ALL SELECT bucket_ms, room || ' max', {q.num('max_temp', 2)} FROM w""")),
+    "series_extreme_values": Query(series_extreme_values, _with("""bent AS (
+        SELECT time_ms, room, CASE arrival % 50 WHEN 0 THEN 1e300 / (1 + arrival % 7)
+        WHEN 1 THEN -1e23 ELSE temp_c END AS temp_c FROM readings)""", f"""means AS (
+        SELECT {q.floor_to('time_ms', 60000)} AS time_ms, room, avg(temp_c) AS mean FROM bent GROUP BY 1, 2)""",
+        select=f"""SELECT time_ms, room AS metric, CASE WHEN abs(mean) >= 1e20 THEN mean
+        ELSE {q.num('CASE WHEN abs(mean) >= 1e20 THEN 0.0 ELSE mean END', 2)} END AS value FROM means""")),
     "series_hourly": Query(series_hourly, _with(HOURS, select=f"""
         SELECT bucket_ms AS time_ms, room AS metric, {q.num('avg_temp', 2)} AS value FROM h
         WHERE {IN_ROOMS} AND bucket_ms BETWEEN {START_MS} AND {END_MS}""")),
@@ -363,9 +379,22 @@ def snapshot_sampled(spark, folder):
         "ts_nanos")
 
 
+def snapshot_sampled_range(spark, folder):
+    """Ticks of ten days out of the middle, from a start between two ticks."""
+    rows = fx.readings(spark, folder).withColumn(
+        "ts_nanos", payload.nanos(F.unix_millis("time")))
+    found = metrics.sampled_snapshot(rows, "6 hours", arrival_time="time", start=F.lit(RANGE_START),
+                                     until=F.lit(END))
+    return found.select(_ms("tick").alias("tick_ms"), "sensor_id", "room", "temp_c", "humidity",
+                        "pressure", "ts_nanos")
+
+
+RANGE_START = START + timedelta(hours=1)
+
+
 def batch_assembled(spark, folder):
     """Per tick, what its batches hold: points and attributes in total."""
-    nested = metrics.assemble_batches(_sampled(spark, folder), max_sensors=100)
+    nested = metrics.assemble_batches(_sampled(spark, folder), shards=3)
     found = F.flatten(F.flatten(F.transform("resource_metrics", lambda r: F.transform(
         F.flatten(F.transform(r["scope_metrics"], lambda s: s["metrics"])),
         lambda m: m["gauge"]["data_points"]))))
@@ -376,7 +405,7 @@ def batch_assembled(spark, folder):
 
 
 def batch_roundtrip(spark, folder):
-    nested = metrics.assemble_batches(_sampled(spark, folder), max_sensors=100)
+    nested = metrics.assemble_batches(_sampled(spark, folder), shards=3)
     return batch.flatten_batches(nested, "all", keep=("tick",)).select(
         _ms("tick").alias("tick_ms"), "sensor_id", "room", "temp_c", "humidity", "pressure",
         (F.col("timestamp_ms") * 1_000_000).alias("ts_nanos"))
@@ -395,11 +424,11 @@ def batch_wire_decode(spark, folder):
     coded = otlp.encode_batches(fx.bent_batches(fx.readings(spark, folder)))
     form = F.col("batch") % 12
     value = F.col("value")
-    cut = (F.when(form == 0, F.unhex(F.lit("000102FFFE7A5B")))
+    cut = (F.when(form == 0, F.unhex(F.lit("0AFF037F4B2201")))
            .when(form == 1, F.unhex(F.lit("")))
            .when(form == 2, F.lit(None).cast("binary"))
            .otherwise(value))
-    nested = otlp.decode_batches(coded.withColumn("value", cut))
+    nested = otlp.decode_batches(coded.withColumn("value", cut), native=False)
     return batch.flatten_batches(nested).select(
         "sensor_id", "room", "temp_c", "humidity", "pressure", "timestamp_ms")
 
@@ -472,6 +501,9 @@ DECODE = {
         UNION ALL SELECT sensor_id, room, ts_nanos, 'room.pressure', p FROM last""")),
     "snapshot_sampled": Query(snapshot_sampled, _with(
         q.snapshots(6 * q.HOUR), select=f"SELECT {SNAP_COLUMNS} FROM snaps")),
+    "snapshot_sampled_range": Query(snapshot_sampled_range, _with(
+        q.snapshots(6 * q.HOUR), select=f"""SELECT {SNAP_COLUMNS} FROM snaps
+        WHERE tick_ms BETWEEN {START_MS + q.HOUR} AND {END_MS}""")),
     "batch_assembled": Query(batch_assembled, _with(
         q.snapshots(q.DAY), select="""SELECT tick_ms, count(*) * 3 AS points,
         count(*) * 9 AS attributes FROM snaps GROUP BY 1""")),
@@ -492,11 +524,10 @@ DECODE = {
         SELECT time_ms - time_ms % 60000 AS time_ms, sensor_id, room, temp_c, humidity, pressure,
         arrival FROM ranked WHERE rn = 1""")),
 }
-if otlp.available():
-    DECODE["batch_wire_decode"] = Query(batch_wire_decode, _with(
-        "sound AS (SELECT * FROM readings WHERE (arrival // 8) % 12 > 2)",
-        FLAT_FIRST.format(absent="0.0").replace("FROM readings", "FROM sound"),
-        select=f"SELECT {FLAT_COLUMNS} FROM flat"))
+DECODE["batch_wire_decode"] = Query(batch_wire_decode, _with(
+    "sound AS (SELECT * FROM readings WHERE (arrival // 8) % 12 > 2)",
+    FLAT_FIRST.format(absent="0.0").replace("FROM readings", "FROM sound"),
+    select=f"SELECT {FLAT_COLUMNS} FROM flat"))
 
 
 # -- data quality ----------------------------------------------------------

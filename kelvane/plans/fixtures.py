@@ -15,8 +15,8 @@ from kelvane.sources.events import as_readings, scan_events
 HOUR_MS = 3_600_000
 
 
-def readings(spark: SparkSession, folder: str) -> DataFrame:
-    return as_readings(scan_events(spark, folder))
+def readings(spark: SparkSession, folder: str, start=None, end=None) -> DataFrame:
+    return as_readings(scan_events(spark, folder, start, end))
 
 
 def delayed(rows: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def bent_payloads(rows: DataFrame) -> DataFrame:
         return F.replace(text, F.lit(old), F.lit(new))
 
     bent = {
-        0: F.lit("not json at all"),
+        0: F.lit("{sensor: ?"),
         1: swap('"schema_version":"1"', '"schema_version":"2"'),
         2: swap('"schema_version":"1"', '"schema_version":1'),
         3: swap('"temp_c"', '"temperature"'),
@@ -61,7 +61,7 @@ def bent_payloads(rows: DataFrame) -> DataFrame:
         chosen = chosen.when(kind == remainder, column)
     data = chosen.otherwise(text).cast("binary")
     data = (
-        F.when(kind == 10, F.concat(F.unhex(F.lit("FFFE00")), text.cast("binary")))
+        F.when(kind == 10, F.concat(F.unhex(F.lit("C0AF")), text.cast("binary")))
         .when(kind == 11, F.unhex(F.lit("")))
         .when(kind == 17, F.lit(None).cast("binary"))
         .otherwise(data)

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kelvane import schemas
 from kelvane.functions.numbers import numeric_round
-from kelvane.operators import alerts, rollup, windows
+from kelvane.operators import alerts, codec, payload, rollup, windows
 from kelvane.plans import fixtures as fx
 from kelvane.plans import sql as q
 from kelvane.session import scratch_path
 from kelvane.sinks import tables
 from kelvane.sinks.topics import file_writer
-from kelvane.sources import otlp, topics
+from kelvane.sources import topics
 from kelvane.sources.events import as_readings, stream_events
-from kelvane.sources.tables import scan, scan_stream
+from kelvane.sources.tables import scan
 from kelvane.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -81,6 +83,8 @@ REFRESHES = [
     datetime(2024, 1, 12, 7, 20, tzinfo=timezone.utc),
     datetime(2024, 1, 20, 9, 45, tzinfo=timezone.utc),
 ]
+GONE_BEFORE = date(2024, 1, 9)
+GONE_BEFORE_MS = int(datetime(2024, 1, 9, tzinfo=timezone.utc).timestamp() * 1000)
 
 
 def hourly_refresh(spark, folder):
@@ -109,7 +113,7 @@ def stream_raw_idempotent(spark, folder):
 def _window_stream(spark, folder, root):
     _finish(jobs.start_window_job(
         as_readings(stream_events(spark, folder)), root, f"{root}/checkpoint-windows", ONCE,
-        topic=file_writer(f"{root}/temperature-processed")))
+        topic=file_writer(f"{root}/{topics.WINDOW_TOPIC}")))
 
 
 def stream_window_5min(spark, folder):
@@ -118,16 +122,77 @@ def stream_window_5min(spark, folder):
     return _windows(spark, root)
 
 
-def stream_alerts(spark, folder):
+def _alert_stream(spark, folder, files_per_batch):
     root = _new_root(spark, "stream-alerts")
     _window_stream(spark, folder, root)
-    closed = windows.from_table_rows(scan_stream(spark, root, "readings_aggregated"))
+    topic = topics.file_topic(spark, f"{root}/{topics.WINDOW_TOPIC}", files_per_batch)
     _finish(jobs.start_alert_job(
-        closed, root, f"{root}/checkpoint-alerts", ONCE,
-        topic=file_writer(f"{root}/temperature-alerts")))
+        jobs.windows_of_messages(topic), root, f"{root}/checkpoint-alerts", ONCE,
+        topic=file_writer(f"{root}/{topics.ALERT_TOPIC}")))
     return _alerts(spark, root)
 
 
+def stream_alerts(spark, folder):
+    """Alerts from the topic of windows."""
+    return _alert_stream(spark, folder, 1000)
+
+
+def stream_alerts_capped(spark, folder):
+    """The same, one file at a time."""
+    return _alert_stream(spark, folder, 1)
+
+
+def published_order(spark, folder):
+    """Per room, published windows and how often one follows a later one."""
+    root = _new_root(spark, "published-order")
+    _window_stream(spark, folder, root)
+    messages = spark.read.schema(schemas.TOPIC).parquet(f"{root}/{topics.WINDOW_TOPIC}")
+    placed = codec.read_messages(messages, keep=("partition", "offset"))
+    by_offset = Window.partitionBy("room").orderBy("partition", "offset")
+    return placed.withColumn("before", F.lag("bucket_ms").over(by_offset)).groupBy("room").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") > F.col("bucket_ms")).alias("descents"))
+
+
+def stream_text_first_wins(spark, folder):
+    """Landed lines, two of each reading's key; the earlier line stays."""
+    root = _new_root(spark, "stream-text")
+    rows = fx.readings(spark, folder)
+    copies = rows.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "temp_c", F.when(F.col("copy") == 1, -1.0).otherwise(F.col("temp_c")))
+    lines = payload.encode_payloads(copies, keep=("arrival", "copy"))
+    # In each file thousand by thousand, the readings ahead of their copies.
+    lines.withColumn("part", F.floor(F.col("arrival") / 1000)).repartitionByRange("part").sortWithinPartitions(
+        "part", "copy", "arrival").select("value").write.text(f"{root}/landed")
+    _finish(jobs.start_payload_job(
+        topics.text_topic(spark, f"{root}/landed"), root, f"{root}/rejects", f"{root}/checkpoint", ONCE))
+    return _raw(spark, root)
+
+
+def payload_outcome_counts(spark, folder):
+    """Payloads accepted and rejected, as the observed counters tell."""
+    seen = Observation("outcomes")
+    parsed = payload.count_outcomes(payload.parse_payloads(
+        fx.bent_payloads(fx.readings(spark, folder))), seen)
+    parsed.write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return spark.range(1).select(F.lit(counts["accepted"]).cast("bigint").alias("accepted"),
+                                 F.lit(counts["rejected"]).cast("bigint").alias("rejected"))
+
+
+def hourly_refresh_emptied(spark, folder):
+    """A second refresh after the readings of some days are gone."""
+    root = _new_root(spark, "hourly-emptied")
+    rows = jobs.with_date(fx.readings(spark, folder))
+    now = REFRESHES[0]
+    for name, kept in (("before", rows), ("after", rows.filter(F.to_date("time") >= GONE_BEFORE))):
+        raw = f"{root}/raw-{name}"
+        kept.select(*schemas.READINGS_RAW.names).write.partitionBy("event_date").parquet(raw)
+        rollup.refresh_hourly(spark, raw, f"{root}/hourly_temp", now, "6 days", "1 hour")
+    return scan(spark, root, "hourly_temp").select(
+        F.unix_millis("bucket").alias("bucket_ms"), "room", "min_temp", "max_temp",
+        numeric_round(F.col("avg_temp"), 6).alias("avg_temp"))
+
+
 def _write_topic(rows: DataFrame, path: str) -> None:
     rows.select(
         F.lit(None).cast("binary").alias("key"), "value",
@@ -160,25 +225,39 @@ def stream_payload_rejects(spark, folder):
 
 
 def stream_batches(spark, folder):
-    """Encoded batches on a topic to stored readings."""
+    """Decoded batches on a topic to stored readings."""
     root = _new_root(spark, "stream-batches")
-    coded = otlp.encode_batches(fx.bent_batches(fx.readings(spark, folder)))
-    _write_topic(coded.withColumnRenamed("batch", "number"), f"{root}/topic")
-    _finish(jobs.start_raw_job(
-        jobs.readings_of_batches(topics.file_topic(spark, f"{root}/topic")), root,
-        f"{root}/checkpoint", ONCE))
+    fx.bent_batches(fx.readings(spark, folder)).select(
+        "resource_metrics", F.pmod("batch", F.lit(3)).cast("int").alias("partition"),
+        F.col("batch").alias("offset")).write.parquet(f"{root}/topic")
+    schema = T.StructType([T.StructField("resource_metrics", schemas.RESOURCE_METRICS),
+                           *schemas.TOPIC.fields[2:]])
+    topic = spark.readStream.schema(schema).parquet(f"{root}/topic")
+    _finish(jobs.start_raw_job(jobs.readings_of_batches(topic), root, f"{root}/checkpoint", ONCE))
     return _raw(spark, root)
 
 
-def stream_snapshot(spark, folder):
+def _snapshots(spark, folder, starts):
     root = _new_root(spark, "stream-snapshot")
-    rows = as_readings(stream_events(spark, folder)).withColumn(
-        "ts_nanos", F.unix_millis("time") * 1_000_000)
-    _finish(jobs.start_snapshot_job(rows, f"{root}/ticks", f"{root}/checkpoint", trigger=ONCE))
+    for start in range(starts):
+        rows = as_readings(stream_events(spark, folder)).withColumn(
+            "ts_nanos", F.unix_millis("time") * 1_000_000)
+        _finish(jobs.start_snapshot_job(
+            rows, f"{root}/ticks", f"{root}/checkpoint-{start}", trigger=ONCE))
     ticks = spark.read.schema(
         "sensor_id string, room string, temp_c double, humidity double, pressure double, "
         "ts_nanos bigint, tick timestamp").parquet(f"{root}/ticks")
-    return ticks.drop("tick", "batch")
+    return ticks.drop("batch", "query")
+
+
+def stream_snapshot(spark, folder):
+    return _snapshots(spark, folder, 1).drop("tick")
+
+
+def stream_snapshot_restarted(spark, folder):
+    """Two runs with a checkpoint each: the ticks of both stay."""
+    return _snapshots(spark, folder, 2).groupBy("sensor_id", "room").agg(
+        F.count_distinct("tick").alias("ticks"), F.count_distinct("ts_nanos").alias("states"))
 
 
 def _with(*ctes: str, select: str) -> str:
@@ -243,6 +322,23 @@ JOB_QUERIES = {
         arg_max(humidity, arrival) AS humidity, arg_max(pressure, arrival) AS pressure,
         arg_max(time_ms, arrival) * 1000000 AS ts_nanos FROM readings GROUP BY 1, 2""")),
 }
-if otlp.available():
-    JOB_QUERIES["stream_batches"] = (stream_batches, _with(
-        FLAT, FIRST.format(source="flat"), select=f"SELECT {RAW_COLUMNS} FROM kept WHERE rn = 1"))
+JOB_QUERIES |= {
+    "stream_batches": (stream_batches, _with(
+        FLAT, FIRST.format(source="flat"), select=f"SELECT {RAW_COLUMNS} FROM kept WHERE rn = 1")),
+    "stream_alerts_capped": (stream_alerts_capped, JOB_QUERIES["stream_alerts"][1]),
+    "published_order": (published_order, _with(
+        q.windows(), CLOSED, select="""SELECT room, count(*) AS n, CAST(0 AS BIGINT) AS descents
+        FROM closed GROUP BY 1""")),
+    "stream_text_first_wins": (stream_text_first_wins, _with(
+        FIRST.format(source="readings"), select=f"SELECT {RAW_COLUMNS} FROM kept WHERE rn = 1")),
+    "payload_outcome_counts": (payload_outcome_counts, _with(select="""
+        SELECT count(*) FILTER (NOT bad) AS accepted, count(*) FILTER (bad) AS rejected FROM (
+        SELECT arrival % 97 IN (0,1,2,3,4,5,6,7,8,9,10,11,12,13,17,18) AS bad FROM readings)""")),
+    "hourly_refresh_emptied": (hourly_refresh_emptied, _with(select=f"""
+        SELECT {q.floor_to('time_ms', q.HOUR)} AS bucket_ms, room, min(temp_c) AS min_temp,
+        max(temp_c) AS max_temp, {q.num('avg(temp_c)', 6)} AS avg_temp FROM readings
+        WHERE {_hours(REFRESHES[0])} AND time_ms >= {GONE_BEFORE_MS} GROUP BY 1, 2""")),
+    "stream_snapshot_restarted": (stream_snapshot_restarted, _with(select="""
+        SELECT sensor_id, room, CAST(2 AS BIGINT) AS ticks, CAST(1 AS BIGINT) AS states
+        FROM readings GROUP BY 1, 2""")),
+}

@@ -82,6 +82,7 @@ ALERTS = _struct(
     ("max_temp", T.DoubleType(), False),
     ("consecutive_count", T.IntegerType(), False),
     ("time", T.TimestampType(), False),
+    ("event_date", T.DateType(), False),
 )
 
 HOURLY_TEMP = _struct(
@@ -114,5 +115,5 @@ TABLES = {
     "readings_raw": (READINGS_RAW, "event_date"),
     "readings_aggregated": (READINGS_AGGREGATED, "event_date"),
     "hourly_temp": (HOURLY_TEMP, "event_date"),
-    "alerts": (ALERTS, None),
+    "alerts": (ALERTS, "event_date"),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Stored times keep statistics, so that a time range skips row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # Keyed state that outgrows executor memory lives in RocksDB.
@@ -61,12 +64,12 @@ def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder.
+    Only a session in one process may fall back to a temporary folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="kelvane-")
     if context.getCheckpointDir() is None:

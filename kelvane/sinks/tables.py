@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -20,25 +19,9 @@ UNIQUE_KEYS = {
     "readings_aggregated": ["room", "bucket"],
 }
 
-# Most dates a partition list names; beyond it a date range prunes instead.
-MAX_LISTED_DATES = 400
-
-
-@dataclass(frozen=True)
-class WriteSettings:
-    """Rows per statement, trigger interval and attempts for a database sink."""
-
-    batch_rows: int
-    interval_ms: int
-    attempts: int
-
-
-# Fixed values.
-WRITE_SETTINGS = {
-    "readings_raw": WriteSettings(100, 200, 3),
-    "readings_aggregated": WriteSettings(50, 500, 3),
-    "alerts": WriteSettings(10, 1000, 3),
-}
+# Rows per statement of a database sink. How often a sink flushes is
+# the trigger of its stream; how often a write is tried, ``spark.task.maxFailures``.
+BATCH_ROWS = {"readings_raw": 100, "readings_aggregated": 50, "alerts": 10}
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
@@ -50,18 +33,26 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
         writer.parquet(f"{root}/{name}")
 
 
-def _stored_on(spark: SparkSession, path: str, schema, dates: list) -> DataFrame:
-    """Stored rows of the given dates, listing only their folders."""
-    reader = spark.read.schema(schema)
-    if len(dates) > MAX_LISTED_DATES:
-        return reader.parquet(path).filter(F.col("event_date").between(min(dates), max(dates)))
-    listed = ",".join(str(d) for d in dates)
+def _stored_near(spark: SparkSession, path: str, schema, time: str, spans: list) -> DataFrame:
+    """Stored rows within the time span of each date, listing only those dates.
+
+    Literal bounds reach the scan, so row groups outside them are skipped: a
+    small batch does not read the keys of its whole day.
+    """
+    listed = ",".join(str(s["event_date"]) for s in spans)
     try:
-        return reader.option("basePath", path).parquet(f"{path}/event_date={{{listed}}}")
+        stored = spark.read.schema(schema).option("basePath", path).parquet(
+            f"{path}/event_date={{{listed}}}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    near = [(F.col("event_date") == F.lit(s["event_date"]))
+            & F.col(time).between(F.timestamp_micros(F.lit(s["low"])), F.timestamp_micros(F.lit(s["high"])))
+            for s in spans]
+    while len(near) > 1:  # a balanced tree: many dates make no deep expression
+        near = [near[i] | near[i + 1] if i + 1 < len(near) else near[i] for i in range(0, len(near), 2)]
+    return stored.filter(near[0])
 
 
 def insert_first_wins(
@@ -80,12 +71,14 @@ def insert_first_wins(
     winners = first_wins(rows, keys, order).select(*schema.names).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        # Bounded by the calendar. Also fills the cache, so that the joins
-        # below are planned on the batch's real size.
-        dates = [r.event_date for r in winners.select("event_date").distinct().collect()]
-        if not dates:
+        # One row per date, bounded by the calendar. Also fills the cache, so
+        # that the joins below are planned on the batch's real size.
+        time = schema.names[0]
+        spans = winners.groupBy("event_date").agg(
+            F.min(F.unix_micros(time)).alias("low"), F.max(F.unix_micros(time)).alias("high")).collect()
+        if not spans:
             return
-        stored = _stored_on(spark, path, schema, dates).select(*keys)
+        stored = _stored_near(spark, path, schema, time, spans).select(*keys)
         # Stored keys are first cut down to those of the batch, so a large day
         # is scanned but not shuffled when the batch is small.
         taken = stored.join(winners.select(*keys), keys, "left_semi")
@@ -117,19 +110,20 @@ def alert_rows(alerts: DataFrame) -> DataFrame:
     return alerts.select(
         F.xxhash64("room", start).alias("id"), "room", start.alias("window_start"),
         "max_temp", F.col("consecutive_count").cast("int").alias("consecutive_count"),
-        F.current_timestamp().alias("time"))
+        F.current_timestamp().alias("time"), F.to_date(start).alias("event_date"))
 
 
 def append_alerts(batch: DataFrame, root: str) -> None:
-    alert_rows(batch).write.mode("append").parquet(f"{root}/alerts")
+    """Append; a repeated micro-batch appends again, with the same ids."""
+    alert_rows(batch).hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
+        "event_date").parquet(f"{root}/alerts")
 
 
 def append_jdbc(
-    rows: DataFrame, url: str, table: str, settings: WriteSettings | None = None,
+    rows: DataFrame, url: str, table: str, batch_rows: int | None = None,
     driver: str = "org.postgresql.Driver", **options: str,
 ) -> None:
     """Append to a database table; the driver jar has to be on the class path."""
-    settings = settings or WRITE_SETTINGS[table]
     rows.write.format("jdbc").options(
-        url=url, dbtable=table, driver=driver, batchsize=settings.batch_rows, **options,
+        url=url, dbtable=table, driver=driver, batchsize=batch_rows or BATCH_ROWS[table], **options,
     ).mode("append").save()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_SCHEMA = (
@@ -11,8 +13,23 @@ EVENT_SCHEMA = (
 )
 
 
-def scan_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
+def scan_events(
+    spark: SparkSession, folder: str, start: datetime | None = None, end: datetime | None = None,
+) -> DataFrame:
+    """Stored events, from ``start`` up to and with the millisecond of ``end``.
+
+    Bounds apply to the stored time, so the scan skips what lies outside.
+    """
+    events = spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
+
+    def stored(at: datetime) -> Column:
+        return F.lit(at.astimezone(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+
+    if start is not None:
+        events = events.filter(F.col("ts") >= stored(start))
+    if end is not None:
+        events = events.filter(F.col("ts") < stored(end + timedelta(milliseconds=1)))
+    return events
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:

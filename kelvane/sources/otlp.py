@@ -1,8 +1,10 @@
 """Metric batches on the wire: protobuf bytes to and from nested rows.
 
-With the Spark protobuf module on the class path ``from_protobuf`` does the
-work. Otherwise a small Arrow function around the protobuf runtime does.
-Everything behind this step is native Spark.
+``decode_batches(native=True)`` is the way for clusters: ``from_protobuf``, with
+the Spark protobuf module on the class path. Without the module there is a small
+Arrow function around the protobuf runtime, message by message in Python, as is
+``encode_batches``; both are for tests and small input. Everything behind this
+step is native Spark.
 """
 
 from __future__ import annotations
@@ -144,10 +146,10 @@ def _arrow_type(kind) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def decode_batches(messages: DataFrame, value: str = "value", native: bool = False) -> DataFrame:
+def decode_batches(messages: DataFrame, value: str = "value", native: bool = True) -> DataFrame:
     """Replace ``value`` by ``resource_metrics``, null where it cannot be read.
 
-    ``native=True`` uses ``from_protobuf`` (needs the Spark protobuf module).
+    ``native`` uses ``from_protobuf`` (needs the Spark protobuf module).
     """
     if native:
         decoded = _from_protobuf(F.col(value))

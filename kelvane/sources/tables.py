@@ -14,7 +14,7 @@ def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def scan_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1000) -> DataFrame:
-    """A stored table as a stream of its appended files."""
+    """A stored table as a stream of its appended files, in no order of time."""
     schema, _ = schemas.TABLES[table]
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)

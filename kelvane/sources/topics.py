@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from kelvane import schemas
 
 # Topic names.
-READING_TOPIC = "sensors/temperature"
 RAW_TOPIC = "raw-temperature"
 WINDOW_TOPIC = "temperature-processed"
 ALERT_TOPIC = "temperature-alerts"
@@ -44,11 +43,17 @@ def file_topic(spark: SparkSession, path: str, files_per_batch: int = 1000) -> D
 
 
 def text_topic(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Landed payloads, one JSON document per line, in the order files arrived."""
+    """Landed payloads, one JSON document per line, in the order files arrived.
+
+    ``file`` and ``block`` place a line's block among those of one moment; the
+    line's place in its block shows only where the rows are processed.
+    """
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
     return lines.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(0).alias("partition"),
         F.unix_micros("_metadata.file_modification_time").alias("offset"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
     )

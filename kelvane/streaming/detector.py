@@ -7,47 +7,60 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from kelvane import schemas
+from kelvane.functions.times import width_ms
 from kelvane.operators.alerts import CONSECUTIVE_THRESHOLD, MAX_TEMP_THRESHOLD
 
+NEVER = -(2**62)
+
 
 class HotRunCounter(StatefulProcessor):
-    """Carries the length of the current run from one micro-batch to the next."""
+    """Carries a room's run from one micro-batch to the next.
+
+    Windows count in the order of their offsets, so where a micro-batch ends
+    makes no difference. State: length of the run and the last window counted.
+    """
 
-    def __init__(self, threshold: float, consecutive: int):
+    def __init__(self, threshold: float, consecutive: int, step_ms: int, gap_resets: bool, dedupe: bool):
         self.threshold = threshold
         self.consecutive = consecutive
+        self.step_ms = step_ms
+        self.gap_resets = gap_resets
+        self.dedupe = dedupe
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "length int")
+        self.run = handle.getValueState("run", "length int, last bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Copies collapse chunk by chunk: what is held is one row per closed
-        # window of the room, which time bounds.
-        cells = ["bucket_ms", "max_temp"]
-        parts = [part.groupby(cells, dropna=False).size().reset_index(name="copies")
-                 for part in rows]
-        windows = pd.concat(parts).groupby(cells, dropna=False, as_index=False)["copies"].sum()
-        windows = windows.sort_values(cells)
-        carried = self.run.get()[0] if self.run.exists() else 0
+        # One row per window of the room that this micro-batch brings.
+        windows = pd.concat(list(rows)).sort_values(["partition", "offset"], kind="stable")
+        carried, last = self.run.get() if self.run.exists() else (0, NEVER)
+        bucket = windows["bucket_ms"].to_numpy()
+        newest = np.maximum.accumulate(np.append(last, bucket))
+        if self.dedupe:
+            fresh = bucket > newest[:-1]
+            windows, bucket = windows[fresh], bucket[fresh]
+            newest = np.append(last, bucket)
+            if not len(windows):
+                return
         hot = windows["max_temp"].to_numpy() > self.threshold  # false for NaN
-        copies = np.where(hot, windows["copies"].to_numpy(), 0)
-        hots = np.cumsum(copies)
-        base = np.maximum.accumulate(np.where(hot, -carried, hots))
-        before = hots - copies - base  # length of the run ahead of each hot window
-        self.run.update((int((before + copies)[-1]) if hot[-1] else 0,))
-        at = np.repeat(np.arange(len(windows)), copies)
-        length = before[at] + np.arange(len(at)) - (hots - copies)[at] + 1
-        raised = length >= self.consecutive
-        at = at[raised]
-        if not len(at):
+        hots = np.cumsum(hot)
+        base = np.where(hot, -carried, hots)
+        if self.gap_resets:
+            gap = (bucket - newest[:-1] > self.step_ms) & (newest[:-1] > NEVER)
+            base = np.where(gap & hot, hots - 1, base)
+        length = np.where(hot, hots - np.maximum.accumulate(base), 0)
+        self.run.update((int(length[-1]), int(newest[-1])))
+        raised = length >= max(self.consecutive, 1)
+        if not raised.any():
             return
         yield pd.DataFrame({
-            "room": np.full(len(at), key[0], dtype=object),
-            "window_start_ms": windows["bucket_ms"].to_numpy()[at],
-            "max_temp": windows["max_temp"].to_numpy()[at],
+            "room": np.full(int(raised.sum()), key[0], dtype=object),
+            "window_start_ms": bucket[raised],
+            "max_temp": windows["max_temp"].to_numpy()[raised],
             "consecutive_count": length[raised].astype("int32"),
         })
 
@@ -59,11 +72,23 @@ def stream_alerts(
     window_results: DataFrame,
     threshold: float = MAX_TEMP_THRESHOLD,
     consecutive: int = CONSECUTIVE_THRESHOLD,
+    gap_resets: bool = False,
+    dedupe: bool = False,
+    width: str = "5 minutes",
 ) -> DataFrame:
-    """Streaming twin of ``detect_alerts``; needs the RocksDB state store."""
-    return window_results.select("room", "bucket_ms", "max_temp").groupBy(
+    """Streaming twin of ``detect_alerts``; needs the RocksDB state store.
+
+    Windows of a topic count in the order of (partition, offset). Without these
+    columns, as from a table, a micro-batch is put in order of time, which does
+    not help a window that comes in a later one than its successor. With
+    ``dedupe`` a window no later than the last one counted is a redelivery.
+    """
+    rows = window_results
+    if "offset" not in rows.columns:
+        rows = rows.withColumns({"partition": F.lit(0), "offset": F.col("bucket_ms")})
+    return rows.select("room", "bucket_ms", "max_temp", "partition", "offset").groupBy(
         "room").transformWithStateInPandas(
-        statefulProcessor=HotRunCounter(threshold, consecutive),
+        statefulProcessor=HotRunCounter(threshold, consecutive, width_ms(width), gap_resets, dedupe),
         outputStructType=schemas.ALERT,
         outputMode="Append",
         timeMode="None",

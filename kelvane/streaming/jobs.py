@@ -1,11 +1,14 @@
 """The jobs: raw sink, window aggregation, alert detection, payload intake.
 
 Each is one streaming query with its own checkpoint, hence an independent
-reader of its source. Every sink tolerates a repeated micro-batch.
+reader of its source. A repeated micro-batch leaves the stored readings and
+windows, rejects and ticks as they are; alerts and topic messages come twice.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,26 +23,63 @@ from kelvane.sinks.topics import TopicWriter
 from kelvane.sources import otlp
 from kelvane.streaming.detector import stream_alerts
 
+log = logging.getLogger(__name__)
+
 # Fixed value: the checkpoint interval of all jobs.
 EVERY_MINUTE = {"processingTime": "60 seconds"}
 
 ARRIVAL_ORDER = ["partition", "offset", "position"]
 
 
-def readings_of_batches(topic: DataFrame, mode: str = "first", missing: str = "zero") -> DataFrame:
-    """Readings of a topic of encoded metric batches, with their arrival order."""
-    decoded = otlp.decode_batches(topic.drop("key"))
+def readings_of_batches(
+    topic: DataFrame, mode: str = "first", missing: str = "zero", native: bool = True,
+) -> DataFrame:
+    """Readings of a topic of metric batches, with their arrival order.
+
+    Batches are bytes or, in ``resource_metrics``, decoded already. ``native``
+    decodes bytes by ``from_protobuf``, which needs the Spark protobuf module.
+    """
+    decoded = topic.drop("key")
+    if "resource_metrics" not in topic.columns:
+        decoded = otlp.decode_batches(decoded, native=native)
     return batches.flatten_batches(decoded, mode, missing, keep=("partition", "offset"))
 
 
+def windows_of_messages(topic: DataFrame) -> DataFrame:
+    """Window results of their topic, with their place in it."""
+    return codec.read_messages(topic, keep=("partition", "offset"))
+
+
 def readings_of_payloads(topic: DataFrame) -> DataFrame:
     """Good readings of a topic of JSON payloads, with their arrival order."""
-    return payload.accepted(payload.parse_payloads(positioned(topic)), keep=tuple(ARRIVAL_ORDER))
+    order = F.struct("file", "block") if "file" in topic.columns else F.lit(0)
+    placed = topic.drop("key").withColumn("position", order)
+    return payload.accepted(payload.parse_payloads(placed), keep=tuple(ARRIVAL_ORDER))
+
 
+def positioned(batch: DataFrame) -> DataFrame:
+    """The place of each row of a micro-batch among those with its offset.
+
+    Landed lines share the time of their file: file, block and the line's place
+    in the block, in which a task reads them, follow. Offsets of a broker are
+    unique.
+    """
+    rows = batch.drop("key")
+    if "file" not in rows.columns:
+        return rows.withColumn("position", F.lit(0))
+    line = F.monotonically_increasing_id()
+    return rows.withColumn("position", F.struct("file", "block", line.alias("line"))).drop("file", "block")
 
-def positioned(topic: DataFrame) -> DataFrame:
-    """Lines of one landed file share an offset; their hash makes the order total."""
-    return topic.drop("key").withColumn("position", F.xxhash64("value"))
+
+def batch_folder(batch: DataFrame, root: str, batch_id: int) -> str:
+    """A folder of this query and micro-batch: written anew when it repeats.
+
+    Batches count from 0 again under a new checkpoint, but the query has a new id.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("the id of the streaming query is not known here")
+    return f"{root}/query={query}/batch={batch_id}"
 
 
 def with_date(readings: DataFrame) -> DataFrame:
@@ -92,9 +132,9 @@ def start_window_job(
 def start_alert_job(
     window_results: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
     threshold: float = MAX_TEMP_THRESHOLD, consecutive: int = CONSECUTIVE_THRESHOLD,
-    topic: TopicWriter | None = None,
+    topic: TopicWriter | None = None, gap_resets: bool = False, dedupe: bool = False,
 ) -> StreamingQuery:
-    """Store and publish alerts. Window results must arrive in order per room."""
+    """Store and publish alerts of window results, best read from their topic."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         raised = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -107,7 +147,7 @@ def start_alert_job(
 
     with conf_scope(window_results.sparkSession, STATE_SETTINGS):
         return (
-            stream_alerts(window_results, threshold, consecutive)
+            stream_alerts(window_results, threshold, consecutive, gap_resets, dedupe)
             .writeStream.queryName("alerts").outputMode("append")
             .foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_MINUTE)).start()
@@ -117,7 +157,10 @@ def start_alert_job(
 def start_payload_job(
     topic: DataFrame, root: str, rejects: str, checkpoint: str, trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Decode payloads, store the good readings and keep the bad with a reason."""
+    """Decode payloads, store the good readings and keep the bad with a reason.
+
+    Of each micro-batch, the numbers of accepted and rejected payloads are logged.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = payload.parse_payloads(positioned(batch)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,7 +169,10 @@ def start_payload_job(
             tables.insert_first_wins(with_date(good), root, "readings_raw", ARRIVAL_ORDER)
             # A repeated batch replaces its own rejects.
             payload.rejected(parsed, keep=("partition", "offset")).write.mode(
-                "overwrite").parquet(f"{rejects}/batch={batch_id}")
+                "overwrite").parquet(batch_folder(batch, rejects, batch_id))
+            bad = F.col("reject_reason").isNotNull()
+            counts = parsed.agg(F.count_if(~bad), F.count_if(bad)).first()
+            log.info("batch %d: %d payloads accepted, %d rejected", batch_id, *counts)
         finally:
             parsed.unpersist()
 
@@ -149,7 +195,7 @@ def start_snapshot_job(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("tick", F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{ticks}/batch={batch_id}")
+            batch_folder(batch, ticks, batch_id))
 
     return (
         metrics.latest_snapshot(readings, arrival).writeStream.queryName("snapshot")

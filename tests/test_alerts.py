@@ -87,3 +87,13 @@ def test_runs_across_chunks_against_a_loop(spark, seed, gap_resets):
             for room in ("a", "b", "") for i in range(150) if rng.random() < 0.9]
     found = detect(spark, rows, gap_resets=gap_resets, chunk="30 minutes")
     assert sorted(found) == brute(rows, 25.0, 3, gap_resets)
+
+
+def test_runs_are_counted_with_one_shuffle_of_the_rows(spark):
+    rows = spark.createDataFrame([("a", i * 300_000, 30.0, 1.0, 1.0, 1.0) for i in range(4)],
+                                 "room string, bucket_ms bigint, max_temp double, avg_temp double, "
+                                 "max_humidity double, avg_humidity double")
+    plan = alerts.hot_runs(rows)._jdf.queryExecution().executedPlan().toString()
+    # Once for each branch: the same exchange, reused when run. Others carry a row per chunk.
+    assert plan.count("REPARTITION_BY_COL") == 2
+    assert "Exchange hashpartitioning(room" not in plan.split("REPARTITION_BY_COL")[-1]

@@ -46,12 +46,12 @@ def flatten(spark, resources, mode="first", missing="zero"):
 
 
 def test_one_sensor(spark):
-    assert flatten(spark, [res(ids("esp32-bedroom-01", "bedroom"), *three(23.5, 55.0, 1013.0))]) \
-        == [("esp32-bedroom-01", "bedroom", 23.5, 55.0, 1013.0, T0_MS)]
+    assert flatten(spark, [res(ids("probe-7", "attic"), *three(18.75, 41.5, 987.25))]) \
+        == [("probe-7", "attic", 18.75, 41.5, 987.25, T0_MS)]
 
 
 def test_three_sensors(spark):
-    names = [("sensor-A", "kitchen"), ("sensor-B", "living-room"), ("sensor-C", "office")]
+    names = [("probe-1", "hall"), ("probe-2", "porch"), ("probe-3", "cellar")]
     rows = flatten(spark, [res(ids(*n), *three(20.0, 50.0, 1000.0)) for n in names])
     assert [r[:2] for r in rows] == names
 
@@ -61,9 +61,9 @@ def test_no_sensor_id(spark):
 
 
 def test_ids_on_points(spark):
-    on_points = ids("esp32-dp-fallback", "hallway")
-    assert flatten(spark, [res([], *three(24.0, 50.0, 1000.0, attributes=on_points))])[0][:3] == (
-        "esp32-dp-fallback", "hallway", 24.0)
+    on_points = ids("probe-on-point", "stairs")
+    assert flatten(spark, [res([], *three(12.5, 50.0, 1000.0, attributes=on_points))])[0][:3] == (
+        "probe-on-point", "stairs", 12.5)
 
 
 def test_zero_and_negative_time(spark):
@@ -72,9 +72,9 @@ def test_zero_and_negative_time(spark):
 
 
 def test_unknown_metric_is_ignored_but_sets_the_time(spark):
-    metrics = three(25.0, 60.0, 1015.0) + [gauge("room.co2", point(800.0, T0 + 5_000_000))]
+    metrics = three(14.0, 33.0, 990.5) + [gauge("room.noise", point(61.0, T0 + 5_000_000))]
     assert flatten(spark, [res(ids("s", "r"), *metrics)]) == [
-        ("s", "r", 25.0, 60.0, 1015.0, T0_MS + 5)]
+        ("s", "r", 14.0, 33.0, 990.5, T0_MS + 5)]
 
 
 def test_only_unknown_metrics_emit_zeros(spark):
@@ -174,16 +174,16 @@ def test_wire_round_trip(spark):
     resources = many_points() + [res(ids("s", "r"), gauge("room.humidity", point(None, as_int=-5)),
                                      {"name": "n", "gauge": None}, gauge("room.pressure"))]
     frame = spark.createDataFrame([(resources,)], schemas.OTLP_BATCH)
-    again = otlp.decode_batches(otlp.encode_batches(frame))
+    again = otlp.decode_batches(otlp.encode_batches(frame), native=False)
     assert again.schema.fieldNames() == ["resource_metrics"]
     assert again.collect() == frame.collect()
 
 
 @wire
 def test_unreadable_bytes(spark):
-    values = [bytes([0, 1, 2, 0xFF, 0xFE, 0x7A, 0x5B]), b"", None]
+    values = [b"\x0a\xff\x03\x7f\x4b\x22\x01", b"", None]
     frame = spark.createDataFrame([(v,) for v in values], "value binary")
-    decoded = otlp.decode_batches(frame)
+    decoded = otlp.decode_batches(frame, native=False)
     assert decoded.filter(F.col("resource_metrics").isNotNull()).count() == 0
     assert batch.flatten_batches(decoded).count() == 0
 

@@ -35,5 +35,6 @@ def test_round_trip_of_special_values(spark):
     frame = spark.createDataFrame(rows, schemas.WINDOW_RESULT)
     (message,) = codec.window_messages(frame).collect()
     assert '"max_humidity":null' in message.value
+    assert message.ordinal == 1
     (row,) = codec.read_messages(codec.window_messages(frame)).collect()
     assert math.isnan(row.max_temp) and row.avg_temp == 1e-7 and row.avg_humidity == 123456789.125

@@ -10,7 +10,7 @@ from kelvane.operators import alerts, codec, windows
 from kelvane.plans import fixtures as fx
 from kelvane.sinks.topics import file_writer
 from kelvane.sources import otlp, topics
-from kelvane.sources.tables import scan, scan_stream
+from kelvane.sources.tables import scan
 from kelvane.streaming import jobs
 from kelvane.session import STATE_SETTINGS, conf_scope
 from kelvane.streaming.detector import stream_alerts
@@ -115,6 +115,67 @@ def test_alerts_survive_a_restart_and_equal_the_batch_twin(spark, root, tmp_path
     assert sorted(published.collect()) == sorted(expected.collect())
 
 
+@pytest.mark.parametrize("cap", [1, 3, 1000])
+def test_runs_do_not_depend_on_files_or_batches(spark, root, tmp_path, cap):
+    """A topic of several files a commit, read in parts; file times run backwards."""
+    import os
+    rooms = [f"r{i}" for i in range(20)]
+    rng = random.Random(cap)
+    temps = {r: [rng.choice([20, 26, 27, 28]) for _ in range(12)] for r in rooms}
+    topic = str(tmp_path / "topic")
+    for commit in range(3):
+        rows = [(r, i * 300_000, temps[r][i]) for r in rooms for i in range(commit * 4, commit * 4 + 4)]
+        rng.shuffle(rows)
+        before = set(os.listdir(topic)) if commit else set()
+        file_writer(topic)(codec.window_messages(results_frame(spark, rows)))
+        new = sorted(f for f in set(os.listdir(topic)) - before if f.startswith("part-"))
+        for place, name in enumerate(new):
+            at = 1_700_000_000 + commit * 1000 - place
+            os.utime(f"{topic}/{name}", (at, at))
+    source = jobs.windows_of_messages(topics.file_topic(spark, topic, cap))
+    finish(jobs.start_alert_job(source, root, str(tmp_path / "c"), ONCE))
+    stored = scan(spark, root, "alerts").select(
+        "room", F.unix_millis("window_start").alias("window_start_ms"), "max_temp", "consecutive_count")
+    expected = alerts.detect_alerts(results_frame(
+        spark, [(r, i * 300_000, t) for r in rooms for i, t in enumerate(temps[r])]))
+    assert sorted(stored.collect()) == sorted(expected.collect())
+
+
+@pytest.mark.parametrize("options", [{"gap_resets": True}, {"dedupe": True}, {"gap_resets": True, "dedupe": True}])
+def test_stream_options_equal_their_batch_twin(spark, root, tmp_path, options):
+    rng = random.Random(5)
+    steps = [i for i in range(60) if i % 11 != 5]
+    rows = [("a", i * 300_000, rng.choice([20, 26, 27, 28])) for i in steps]
+    sent = [r for r in rows for _ in range(2 if options.get("dedupe") and r[1] % 4 == 0 else 1)]
+    topic = str(tmp_path / "topic")
+    for i in range(0, len(sent), 7):
+        file_writer(topic)(codec.window_messages(results_frame(spark, sent[i:i + 7])))
+    source = jobs.windows_of_messages(topics.file_topic(spark, topic, 2))
+    finish(jobs.start_alert_job(source, root, str(tmp_path / "c"), ONCE, **options))
+    stored = scan(spark, root, "alerts").select(
+        "room", F.unix_millis("window_start").alias("window_start_ms"), "max_temp", "consecutive_count")
+    expected = alerts.detect_alerts(results_frame(spark, sent), **options)
+    assert sorted(stored.collect()) == sorted(expected.collect())
+
+
+def test_rejects_of_an_earlier_checkpoint_stay(spark, root, tmp_path):
+    for attempt in range(2):
+        topic = str(tmp_path / f"topic-{attempt}")
+        spark.createDataFrame([(None, b"x", 0, attempt)], schemas.TOPIC).write.parquet(topic)
+        finish(jobs.start_payload_job(topics.file_topic(spark, topic), root, str(tmp_path / "bad"),
+                                      str(tmp_path / f"c{attempt}"), ONCE))
+    assert sorted(r.offset for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [0, 1]
+
+
+def test_payload_counts_are_logged(spark, root, tmp_path, caplog):
+    topic = str(tmp_path / "topic")
+    spark.createDataFrame([(None, b"x", 0, 0), (None, b"", 0, 1)], schemas.TOPIC).write.parquet(topic)
+    with caplog.at_level("INFO", "kelvane.streaming.jobs"):
+        finish(jobs.start_payload_job(topics.file_topic(spark, topic), root, str(tmp_path / "bad"),
+                                      str(tmp_path / "c"), ONCE))
+    assert "0 payloads accepted, 2 rejected" in caplog.text
+
+
 def test_alert_settings(spark, tmp_path):
     path = str(tmp_path / "in")
     results_frame(spark, [("a", i * 300_000, t) for i, t in enumerate((31, 32, 29, 33))]
@@ -131,7 +192,7 @@ def test_alert_settings(spark, tmp_path):
 def test_payload_job_splits_good_and_bad(spark, root, tmp_path):
     topic = str(tmp_path / "topic")
     good = ('{"schema_version":"1","sensor_id":"s","room":"r","temp_c":1.5,"humidity":2,'
-            '"pressure":3,"timestamp_ms":1715433600000}')
+            '"pressure":3,"timestamp_ms":1622505600250}')
     spark.createDataFrame(
         [(None, v.encode(), 0, i) for i, v in enumerate([good, "x", good.replace("1.5", "9.5")])],
         schemas.TOPIC).write.parquet(topic)
@@ -148,7 +209,7 @@ def test_landed_text_payloads(spark, root, tmp_path):
     lines.mkdir()
     (lines / "a.json").write_text(
         '{"schema_version":"1","sensor_id":"s","room":"r","temp_c":1,"humidity":2,'
-        '"pressure":3,"timestamp_ms":1715433600000}\nnot json\n')
+        '"pressure":3,"timestamp_ms":1622505600250}\nnot json\n')
     source = jobs.readings_of_payloads(topics.text_topic(spark, str(lines)))
     finish(jobs.start_raw_job(source, root, str(tmp_path / "c"), ONCE))
     assert scan(spark, root, "readings_raw").count() == 1
@@ -165,10 +226,11 @@ def test_batch_topic_to_alerts(spark, root, tmp_path):
         F.lit(None).cast("binary").alias("key"), "value", F.lit(0).alias("partition"),
         F.col("batch").alias("offset"))
     coded.write.parquet(str(tmp_path / "topic"))
-    source = jobs.readings_of_batches(topics.file_topic(spark, str(tmp_path / "topic")))
+    source = jobs.readings_of_batches(topics.file_topic(spark, str(tmp_path / "topic")), native=False)
     finish(jobs.start_raw_job(source, root, str(tmp_path / "raw"), ONCE))
-    finish(jobs.start_window_job(source, root, str(tmp_path / "win"), ONCE))
-    closed = windows.from_table_rows(scan_stream(spark, root, "readings_aggregated"))
+    finish(jobs.start_window_job(source, root, str(tmp_path / "win"), ONCE,
+                                 topic=file_writer(str(tmp_path / "t"))))
+    closed = jobs.windows_of_messages(topics.file_topic(spark, str(tmp_path / "t")))
     finish(jobs.start_alert_job(closed, root, str(tmp_path / "al"), ONCE))
     lost = 8  # remainders 2 and 3 of 11 among 40
     assert scan(spark, root, "readings_raw").count() == 40 - lost

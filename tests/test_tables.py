@@ -47,12 +47,11 @@ def test_empty_batch(spark, root):
     assert stored(spark, root) == []
 
 
-def test_many_dates_use_a_range(spark, root, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_DATES", 2)
-    batch = [("a", i * 1440, 1.0, 0, i) for i in range(5)]
+def test_dates_far_apart(spark, root):
+    batch = [("a", i * 1440 * 400, 1.0, 0, i) for i in range(9)]
     for _ in range(2):
         insert(spark, root, batch)
-    assert len(stored(spark, root)) == 5
+    assert len(stored(spark, root)) == 9
 
 
 def test_dates_are_partitions(spark, root):
@@ -134,7 +133,7 @@ def test_topic_writer(spark, tmp_path):
     topics.file_writer(str(tmp_path / "t"))(codec.alert_messages(raised))
     (row,) = spark.read.parquet(str(tmp_path / "t")).collect()
     assert bytes(row.key) == b"r"
-    assert row.value == ('{"room":"r","window_start_ms":300000,"max_temp":26.0,'
+    assert (row.value.decode()) == ('{"room":"r","window_start_ms":300000,"max_temp":26.0,'
                          '"consecutive_count":3}')
 
 
@@ -151,5 +150,25 @@ def test_compaction_keeps_rows_in_fewer_files(spark, root):
 
 
 def test_write_settings():
-    assert tables.WRITE_SETTINGS["readings_raw"] == tables.WriteSettings(100, 200, 3)
+    assert tables.BATCH_ROWS == {"readings_raw": 100, "readings_aggregated": 50, "alerts": 10}
     assert alerts.CONSECUTIVE_THRESHOLD == 3
+
+
+def test_stored_keys_are_read_within_the_time_of_the_batch(spark, root):
+    """Literal time bounds reach the scan of stored rows."""
+    insert(spark, root, [("a", i, 1.0, 0, i) for i in range(5)])
+    from datetime import date
+    near = tables._stored_near(spark, f"{root}/readings_raw", tables.schemas.READINGS_RAW, "time",
+                               [{"event_date": date(1970, 1, 1), "low": 60_000_000, "high": 120_000_000}])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time," in plan and "LessThanOrEqual(time," in plan
+    assert near.count() == 2
+
+
+def test_first_wins_sorts_no_whole_rows_before_grouping(spark):
+    from kelvane.operators.dedup import first_wins
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z")], "k string, n int, v string")
+    found = first_wins(rows, ["k"], ["n"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2
+    assert sorted(map(tuple, found.collect())) == [("a", 1, "y"), ("b", 3, "z")]
