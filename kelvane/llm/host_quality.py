@@ -17,7 +17,9 @@ WINDOW = 8
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 RULES = ("short", "repeated", "symbols", "lines")
-MAX_STRENGTH = 10_000.0
+# Documents that the prior weighs as many as: below some ten of its own a host
+# cannot be rejected.
+MIN_STRENGTH, MAX_STRENGTH = 10.0, 10_000.0
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -89,7 +91,7 @@ def _prior(mean: float, spread: float, hosts: int, rows: int) -> tuple[float, fl
     noise = mean * (1 - mean) * hosts / rows
     between = spread - noise
     strength = MAX_STRENGTH if between <= 0 else mean * (1 - mean) / between - 1
-    strength = min(max(strength, 1.0), MAX_STRENGTH)
+    strength = min(max(strength, MIN_STRENGTH), MAX_STRENGTH)
     return mean * strength, (1 - mean) * strength
 
 

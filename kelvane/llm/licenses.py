@@ -121,7 +121,7 @@ def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def parent(path: Column) -> Column:
     """The directory of a path; the topmost one is the empty string."""
-    return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), F.lit(""))
 
 
 def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",

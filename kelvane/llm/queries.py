@@ -178,7 +178,7 @@ _SPREAD = """sum(docs * pow({r} / docs - (SELECT sum({r}) / sum(docs) FROM hosts
 
 def _prior_sql(rule: str) -> str:
     return f"""(SELECT m, CASE WHEN v - noise <= 0 THEN 10000.0
-      ELSE least(greatest(m * (1 - m) / (v - noise) - 1, 1.0), 10000.0) END AS s FROM (
+      ELSE least(greatest(m * (1 - m) / (v - noise) - 1, 10.0), 10000.0) END AS s FROM (
       SELECT sum({rule}) / sum(docs) AS m, {_SPREAD.format(r=rule)} AS v,
         sum({rule}) / sum(docs) * (1 - sum({rule}) / sum(docs)) * count(*) / sum(docs) AS noise FROM hosts))"""
 
