@@ -78,6 +78,18 @@ def test_queries_are_registered(spark):
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_its_sql(spark, name):
+    from compare import database, differences
+    assert differences(queries.QUERIES[name](spark, FOLDER), database(FOLDER), queries.SQL[name]) is None
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op3_licenses", "op6_personal_data", "op7_quality_rules"):
+        plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_empty_documents_pass_through_every_stage(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
