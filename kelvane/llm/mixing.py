@@ -35,11 +35,11 @@ class Classifier:
         self.__init__(*state)
 
     @staticmethod
-    def fit(texts: list[str], labels: list[str], domains: list[str], rounds: int = 200) -> Classifier:
+    def fit(texts: list[str], labels: list[str], domains: list[str], rounds: int = 100) -> Classifier:
         """``domains`` may name more than occur; those stay at probability 0."""
         seen = np.array([d in set(labels) for d in domains])
         bias = np.where(seen, 0.0, -np.inf)
-        weights = np.zeros((BUCKETS, len(domains)))
+        weights = np.zeros((BUCKETS, len(domains)), np.float32)
         if seen.any():
             x = np.zeros((len(texts), BUCKETS), np.float32)
             for row, text in zip(x, texts):
@@ -51,10 +51,11 @@ class Classifier:
             shift = np.zeros(len(domains))
             for step in range(1, rounds + 1):
                 gap = (_softmax(x @ weights + bias + shift) - y) / len(texts)
-                slope = x.T @ gap
+                slope = (gap.astype(np.float32).T @ x).T
                 moment += 0.1 * (slope - moment)
                 speed += 0.01 * (slope * slope - speed)
-                weights -= 0.3 * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.99**step)) + 1e-8)
+                weights -= (0.3 * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.99**step)) + 1e-8)
+                            ).astype(np.float32)
                 shift -= 0.5 * gap.sum(axis=0)
             bias = bias + shift
         return Classifier(domains, weights, bias)
