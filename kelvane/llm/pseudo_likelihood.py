@@ -25,7 +25,7 @@ ENDINGS = 256  # tokens for the words outside the vocabulary, by a hash of their
 EDGE = TOKENS  # stands before the first and behind the last token
 UNITS = 16
 OFFSETS = (-2, -1, 1, 2)
-BATCH = 4096
+BATCH = 8192
 MEMO = 400_000
 
 
@@ -65,6 +65,11 @@ class Tokens:
         return padded[places], np.stack([padded[places + o] for o in OFFSETS], axis=1), sizes
 
 
+def _sorting(tokens: np.ndarray) -> np.ndarray:
+    """The order that sorts token numbers; short integers are sorted by radix."""
+    return np.argsort(tokens.astype(np.int16), kind="stable")
+
+
 class Network:
     """A window network with a two-step softmax: first the class, then the token in it."""
 
@@ -92,9 +97,16 @@ class Network:
         x = x - x.max(axis=1, keepdims=True)
         return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+    @staticmethod
+    def _softmax(x: np.ndarray) -> np.ndarray:
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+        return x
+
     def log_probs(self, targets: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """Log-probability of each target, natural."""
-        order = np.argsort(targets // PER_CLASS, kind="stable")
+        order = _sorting(targets // PER_CLASS)
         targets, h = targets[order], self.hidden(contexts[order])
         kinds = targets // PER_CLASS
         found = self._log_softmax(h @ self.w["class"] + self.w["class_bias"])[np.arange(len(h)), kinds]
@@ -110,10 +122,10 @@ class Network:
 
     def gradients(self, targets: np.ndarray, contexts: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
-        order = np.argsort(targets // PER_CLASS, kind="stable")
+        order = _sorting(targets // PER_CLASS)
         targets, contexts, n = targets[order], contexts[order], np.float32(len(targets))
         h, kinds = self.hidden(contexts), targets // PER_CLASS
-        d_class = np.exp(self._log_softmax(h @ self.w["class"] + self.w["class_bias"]))
+        d_class = self._softmax(h @ self.w["class"] + self.w["class_bias"])
         d_class[np.arange(len(h)), kinds] -= 1
         d_class /= n
         grads = {"class": h.T @ d_class, "class_bias": d_class.sum(axis=0),
@@ -123,7 +135,7 @@ class Network:
         for c in range(CLASSES):
             part = slice(bounds[c], bounds[c + 1])
             if part.stop > part.start:
-                d = np.exp(self._log_softmax(h[part] @ self.w["token"][c] + self.w["token_bias"][c]))
+                d = self._softmax(h[part] @ self.w["token"][c] + self.w["token_bias"][c])
                 d[np.arange(len(d)), targets[part] % PER_CLASS] -= 1
                 d /= n
                 grads["token"][c], grads["token_bias"][c] = h[part].T @ d, d.sum(axis=0)
@@ -133,14 +145,15 @@ class Network:
         grads["embed"], grads["mix"] = np.zeros_like(self.w["embed"]), np.zeros_like(self.w["mix"])
         for j in range(len(OFFSETS)):
             # Sums of the rows that share a context token.
-            by = np.argsort(contexts[:, j], kind="stable")
-            used, first = np.unique(contexts[by, j], return_index=True)
-            total = np.add.reduceat(d_sum[by], first)
+            by = _sorting(contexts[:, j])
+            sorted_tokens = contexts[by, j]
+            first = np.flatnonzero(np.append(True, sorted_tokens[1:] != sorted_tokens[:-1]))
+            used, total = sorted_tokens[first], np.add.reduceat(d_sum[by], first)
             grads["embed"][used] += total @ self.w["mix"][j].T
             grads["mix"][j] = self.w["embed"][used].T @ total
         return grads
 
-    def train(self, targets: np.ndarray, contexts: np.ndarray, moments: dict, rate: float = 0.005) -> None:
+    def train(self, targets: np.ndarray, contexts: np.ndarray, moments: dict, rate: float = 0.007) -> None:
         """One pass in small batches, by Adam."""
         order = np.random.default_rng(len(targets)).permutation(len(targets))
         for start in range(0, len(order), BATCH):
