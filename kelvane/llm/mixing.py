@@ -184,7 +184,9 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], t
     """The rows of ``docs``, each as often as its rate says.
 
     The whole part of the rate counts in full; a hash of id and text decides
-    about the fraction, so that a rerun decides alike. Columns stay as they are.
+    about the fraction, so that a rerun decides alike. With ``grow`` no domain
+    shrinks, so a rate between a half and one, of a text that is no clear case,
+    counts as one. Columns stay as they are.
     """
     domains = sorted(targets)
     classifier = fit_classifier(docs, labelled, domains, id_col, text_col, label_col)
@@ -196,6 +198,8 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], t
                          F.xxhash64(F.col(f"`{id_col}`"), text).alias("hash"))
     rated = packed.select("row", "hash", membership(F.col("text"), classifier).alias("m")).select(
         "row", "hash", "m.*").select("row", "hash", rate.alias("rate"))
+    if total == "grow":
+        rated = rated.withColumn("rate", F.when(F.col("rate").between(0.5, 1.0), 1.0).otherwise(F.col("rate")))
     chance = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
     return rated.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
