@@ -6,10 +6,11 @@ share a band are candidates, and those whose weighted Jaccard similarity, worked
 out from the whole texts, reaches the threshold are linked. Connected documents
 form a class.
 
-Copies are one node. The members of a bucket are first compared with one hub;
-only members left outside the hub's component are compared with the others, so a
-bucket of g near copies costs g comparisons, and no link between its texts is
-missed.
+Copies are one node. The members of a bucket are first compared with one hub,
+then those outside the bucket's main component with a few of its members; only
+members that are still outside are compared with all others.
+So a bucket of g near copies costs some g comparisons, and any two of its texts
+in different classes at the end have been compared.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelvane.llm.common import map_batches, picked, saved
+from kelvane.llm.common import map_batches, picked, saved, unused
 from kelvane.llm.graph import components
 from kelvane.llm.merges import Memo
 
@@ -31,8 +32,12 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 DF_BUCKETS = 1 << 18
 # Samples that must agree before texts are compared: at a similarity of 0.8, 24
-# are expected and fewer than 15 have a chance of about 3 in 100,000.
-AGREE = 15
+# are expected and fewer than 17 as rare as to share no band (1 in 1,000).
+AGREE = 17
+# Rounds in which members outside meet so many of the main component, in each of
+# their buckets. They end early where all that is left to compare is at most
+# DIRECT pairs per member.
+ROUNDS, PIVOTS, DIRECT = 1, 12, 10
 _MEMO = 400_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -78,9 +83,9 @@ def document_counts(rows: DataFrame) -> np.ndarray:
 
     counted = rows.select("text").mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(
         F.sum("n").alias("n"))
+    found = counted.toArrow()  # at most DF_BUCKETS rows of two numbers
     total = np.zeros(DF_BUCKETS, np.int64)
-    for row in counted.toLocalIterator():
-        total[row["bucket"]] = row["n"]
+    total[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return total
 
 
@@ -193,10 +198,13 @@ def _agreeing(a: Column, b: Column) -> Column:
     return total
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts reach the threshold."""
-    joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select(
+def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, idf: np.ndarray,
+            threshold: float) -> DataFrame:
+    """The pairs ``a, b`` whose samples agree enough and whose texts reach the threshold."""
+    named = lambda rows, c, name: rows.select(F.col("node").alias(c), F.col(name).alias(f"{name}_{c}"))
+    close = pairs.join(named(signatures, "a", "signed"), "a").join(named(signatures, "b", "signed"), "b").filter(
+        _agreeing(F.col("signed_a"), F.col("signed_b")) >= AGREE).select("a", "b")
+    joined = close.join(named(texts, "a", "text"), "a").join(named(texts, "b", "text"), "b").select(
         "a", "b", "text_a", "text_b")
 
     def start():
@@ -215,33 +223,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
 
         return run
 
-    return map_batches(joined, "a bigint, b bigint, same boolean", start).filter("same").select("a", "b")
-
-
-def _similar_samples(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs with enough samples in common to be worth comparing."""
-    both = pairs.join(signatures.select(F.col("node").alias("a"), F.col("signed").alias("signed_a")), "a").join(
-        signatures.select(F.col("node").alias("b"), F.col("signed").alias("signed_b")), "b")
-    return both.filter(_agreeing(F.col("signed_a"), F.col("signed_b")) >= AGREE).select("a", "b")
-
-
-def _left_over(members: DataFrame, hubs: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs still to be compared: members outside their hub's component with
-    the bucket's other members, where not connected already."""
-    label = lambda c: F.coalesce("component", c)
-    placed = members.join(hubs, "band").join(labels, "node", "left").select(
-        "band", "node", "hub", label(F.col("node")).alias("component"))
-    placed = placed.join(labels.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")),
-                         "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-    placed = saved(placed.withColumn("outside", F.col("component") != F.col("hub_component")))
-    outside = placed.filter("outside")
-    mixed = placed.join(outside.select("band").distinct(), "band", "left_semi").join(
-        signatures.select("node", "signed"), "node")
-    other = mixed.filter(F.col("node") != F.col("hub")).select(
-        "band", F.col("node").alias("b"), F.col("component").alias("component_b"),
-        F.col("outside").alias("outside_b"), F.col("signed").alias("signed_b"))
-    mine = mixed.filter("outside").select("band", F.col("node").alias("a"), F.col("component").alias("component_a"),
-                                          F.col("signed").alias("signed_a"))
+    return saved(map_batches(joined, "a bigint, b bigint, same boolean", start).filter("same").select("a", "b"))
+
+
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` of all nodes after their components are joined by ``edges``."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))
+    between = edges.join(of("a"), "a").join(of("b"), "b").select(
+        F.col("component_a").alias("a"), F.col("component_b").alias("b")).distinct()
+    joined = components(between).select(
+        F.col("node").alias("component"), F.col("component").alias("joined"))
+    return saved(labels.join(joined, "component", "left").select(
+        "node", F.coalesce("joined", "component").alias("component")))
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with ``main``,
+    the component most of the bucket's members are in."""
+    placed = members.join(labels, "node")
+    main = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("band", "main")
+    return saved(placed.join(main, "band"))
+
+
+def _with_pivots(mixed: DataFrame, turn: int) -> DataFrame:
+    """Members outside with a few of the main component, others every turn."""
+    order = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    pivots = mixed.filter("component = main").withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= PIVOTS).select("band", F.col("node").alias("b"))
+    return mixed.filter("component <> main").join(pivots, "band").select(
+        F.col("node").alias("a"), "b").distinct()
+
+
+def _with_all(mixed: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Members outside with all of other components, where samples agree enough."""
+    signed = saved(mixed.join(signatures.select("node", "signed"), "node"))
+    other = signed.select("band", F.col("node").alias("b"), F.col("component").alias("component_b"),
+                          (F.col("component") != F.col("main")).alias("outside_b"), F.col("signed").alias("signed_b"))
+    mine = signed.filter("component <> main").select(
+        "band", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("signed").alias("signed_a"))
     return mine.join(other, (mine["band"] == other["band"]) & (F.col("component_a") != F.col("component_b"))
                      & (~F.col("outside_b") | (F.col("a") < F.col("b")))
                      & (_agreeing(F.col("signed_a"), F.col("signed_b")) >= AGREE)).select("a", "b").distinct()
@@ -265,20 +286,29 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
                                    "node bigint, signed binary, bands array<bigint>", lambda: _sign(idf))
                        .filter(F.col("signed").isNotNull()).groupBy("node").agg(
                            F.first("signed").alias("signed"), F.first("bands").alias("bands")))
-    members = signatures.select("node", F.explode("bands").alias("band"))
-    hubs = saved(members.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-                 .filter("n > 1").select("band", "hub"))
-    star = members.join(hubs, "band").filter(F.col("node") != F.col("hub")).select(
-        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    star = saved(_similar_samples(star, signatures))
-    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
-    edges = saved(_verified(star, texts, idf, threshold))
-    labels = components(edges)
-    rest = saved(_left_over(members, hubs, labels, signatures))
-    if not rest.isEmpty():
-        more = saved(_verified(rest, texts, idf, threshold))
-        if not more.isEmpty():
-            labels = components(edges.union(more))
+    every = signatures.select("node", F.explode("bands").alias("band"))
+    hubs = every.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = saved(every.join(hubs.select("band", "hub"), "band"))
+    near = saved(members.select("node").distinct())
+    signatures = saved(signatures.select("node", "signed").join(near, "node"))
+    texts = saved(rows.groupBy("node").agg(F.first("text").alias("text")).join(near, "node"))
+    link = lambda pairs: _linked(pairs, signatures, texts, idf, threshold)
+    labels = _merged(near.select("node", F.col("node").alias("component")), link(
+        members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()))
+    most = DIRECT * members.count()
+    for turn in range(ROUNDS + 1):
+        mixed = _mixed(members, labels)
+        left = mixed.groupBy("band").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("component") != F.col("main")).alias("outside")).agg(
+            F.sum(F.col("n") * F.col("outside")).alias("pairs")).first()["pairs"]
+        if not left:
+            break
+        last = turn == ROUNDS or left <= most
+        found = link(_with_all(mixed, signatures) if last else _with_pivots(mixed, turn))
+        if not found.isEmpty():
+            labels = _merged(labels, found)
+        if last:
+            break
     return saved(nodes.join(labels, "node", "left").select(
         "node", "least_id", F.coalesce("component", "node").alias("component")))
 
@@ -308,9 +338,11 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     In a class without ids one of its texts stays. Rows are kept as they are.
     """
     texts = text_classes(docs, threshold, id_col, text_col)
+    node = unused(docs, "node")
     chosen = texts.groupBy("component").agg(
-        F.coalesce(F.min_by("node", "least_id"), F.min("node")).alias("_node"), F.min("least_id").alias("_id"))
-    rows = docs.withColumn("_node", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    kept = rows.join(chosen.select("_node", "_id"), (rows["_node"] == chosen["_node"])
-                     & rows[f"`{id_col}`"].eqNullSafe(chosen["_id"]), "left_semi")
-    return kept.dropDuplicates(["_node"]).drop("_node")
+        F.coalesce(F.min_by("node", "least_id"), F.min("node")).alias("chosen"), F.min("least_id").alias("least"))
+    rows = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    kept = rows.join(chosen, (rows[node] == chosen["chosen"]) & rows[f"`{id_col}`"].eqNullSafe(chosen["least"]),
+                     "left_semi")
+    # Rows repeated whole are left, and two null ids with one text.
+    return kept.dropDuplicates([node]).drop(node)
