@@ -1,22 +1,26 @@
 """Document scores by masked pseudo-likelihood.
 
 A small network predicts every token from the two tokens on either side; the sum
-of the log-probabilities scores the document. Counts of words over all documents
-give the vocabulary; all documents train the network in numpy, each task from
+of the log-probabilities scores the document. A word outside the network's
+vocabulary has the probability of its ending class times its share of the class,
+by counts of all words over all documents; that table grows with the corpus and
+stays distributed. All documents train the network in numpy, each task from
 the same start on its own texts, and the tasks' weights are averaged in a tree.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelvane.llm.common import map_batches, picked
+from kelvane.llm.common import map_batches, picked, saved
 from kelvane.llm.merges import Memo
 
 CLASSES, PER_CLASS = 32, 64
@@ -27,20 +31,73 @@ UNITS = 16
 OFFSETS = (-2, -1, 1, 2)
 BATCH = 8192
 MEMO = 400_000
+# Words with at least this part of all tokens are looked up in the tasks, so there
+# are no more than LISTED of them; the counts of all others are joined.
+LISTED = 1 << 17
 
 
-def vocabulary(docs: DataFrame) -> list[str]:
-    """The most frequent words of all documents; ties in order of the words.
+def _words(text: str | None) -> list[str]:
+    return (text or "").lower().split()
 
-    The list has a fixed length, so it is all that the driver gets; counts are
-    combined before the shuffle.
+
+def _ending(word: str) -> int:
+    return zlib.crc32(word[-2:].encode()) % ENDINGS
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word, n`` of every distinct word; counts are combined before the shuffle."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(
+                list(held.values()), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.update(_words(text))
+                if len(held) > MEMO:
+                    yield flushed()
+                    held.clear()
+        yield flushed()
+
+    return saved(picked(docs, text=text_col).mapInArrow(count, "word string, n bigint").groupBy("word").agg(
+        F.sum("n").alias("n")))
+
+
+def vocabulary(counts: DataFrame) -> list[str]:
+    """The most frequent of the counted words; ties in order of the words.
+
+    The list has a fixed length, so it is all that the driver gets.
     """
-    words = docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).filter("word <> ''")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), "word").limit(TOKENS - ENDINGS)
     return [row["word"] for row in top.collect()]
 
 
+def _listed(counts: DataFrame) -> dict[str, int]:
+    """The counts of at most ``LISTED`` words, by their part of all tokens."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return {r["word"]: r["n"] for r in counts.filter(F.col("n") * LISTED >= total).collect()}
+
+
+def _class_counts(counts: DataFrame, words: list[str]) -> np.ndarray:
+    """Tokens of each ending class, without the words of the vocabulary; at least 1."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = set(words), np.zeros(ENDINGS, np.int64)
+        for batch in batches:
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                if word not in known:
+                    total[_ending(word)] += n
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS)), pa.array(total)], ["ending", "n"])
+
+    found = counts.select("word", "n").mapInArrow(add, "ending bigint, n bigint").groupBy("ending").agg(
+        F.sum("n").alias("n")).collect()
+    total = np.zeros(ENDINGS, np.int64)
+    for row in found:
+        total[row["ending"]] = row["n"]
+    return np.maximum(total, 1)
+
+
 class Tokens:
     """Texts as token numbers: a word of the vocabulary, or the class of its ending."""
 
@@ -50,12 +107,12 @@ class Tokens:
 
     def _number(self, word: str) -> int:
         number = self.known.get(word)
-        return TOKENS - ENDINGS + zlib.crc32(word[-2:].encode()) % ENDINGS if number is None else number
+        return TOKENS - ENDINGS + _ending(word) if number is None else number
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Targets, their contexts, and the number of tokens of each text."""
         self.memo.trim()
-        words = [(t or "").lower().split() for t in texts]
+        words = [_words(t) for t in texts]
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         edge = len(OFFSETS) // 2
         padded = np.full(int(sizes.sum()) + edge * (len(texts) + 1), EDGE, np.int64)
@@ -202,28 +259,35 @@ def _trained_by_task(docs: DataFrame, words: list[str], net: Network) -> Network
     return net.unpacked(sums / n) if n else net
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2) -> tuple[list[str], Network]:
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2,
+        counts: DataFrame | None = None) -> tuple[list[str], Network]:
     """Vocabulary and network of all documents.
 
     Each round trains on its share of the documents, by a hash of the text,
     starting from the average of the round before; every document is used once.
+    ``counts``: the documents' ``word_counts``, where they are at hand.
     """
     rows = picked(docs, text=text_col).filter(F.col("text").isNotNull())
-    words, net = vocabulary(rows), Network.fresh()
+    words, net = vocabulary(word_counts(rows) if counts is None else counts), Network.fresh()
     for turn in range(rounds):
         net = _trained_by_task(rows.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn), words, net)
     return words, net
 
 
 def score(docs: DataFrame, words: list[str], net: Network, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_prob`` for every row of ``docs``.
 
+    ``counts``: the ``word_counts`` of the documents that were fitted; without
+    them, those of ``docs``. A word that is not counted weighs as if counted once.
     Null and empty texts have no tokens, a log-likelihood of 0 and a null mean;
     repeated rows are each returned; an empty table gives no rows.
     """
     rows = picked(docs, doc_id=id_col, text=text_col)
     kind = dict(rows.dtypes)["doc_id"]
+    counts = word_counts(rows, "text") if counts is None else counts
+    of_class = -np.log(_class_counts(counts, words))
+    listed = {w: float(np.log(n)) for w, n in _listed(counts).items()} | dict.fromkeys(words, 0.0)
 
     def start():
         tokens = Tokens(words)
@@ -231,22 +295,44 @@ def score(docs: DataFrame, words: list[str], net: Network, id_col: str = "doc_id
         def run(columns):
             sums: list[float] = []
             sizes: list[int] = []
+            others: list[list[tuple[str, int]]] = []
             for at in range(0, len(columns[1]), 50):
-                targets, contexts, own = tokens.of(columns[1][at:at + 50])
+                texts = columns[1][at:at + 50]
+                targets, contexts, own = tokens.of(texts)
                 logs = net.log_probs(targets, contexts).astype(np.float64)
-                ends = np.append(0, np.cumsum(logs))[np.cumsum(own)]
+                flat = [w for t in texts for w in _words(t)]
+                shares = np.fromiter(map(listed.get, flat, repeat(np.nan)), np.float64, len(flat))
+                open_ = np.isnan(shares)
+                logs += np.where(open_, 0.0, shares)
+                rare = targets >= TOKENS - ENDINGS
+                logs[rare] += of_class[targets[rare] - (TOKENS - ENDINGS)]
+                stops = np.cumsum(own)
+                ends = np.append(0, np.cumsum(logs))[stops]
                 sums += np.diff(np.append(0, ends)).tolist()
                 sizes += own.tolist()
-            return [columns[0], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)]]
+                places = np.flatnonzero(open_)
+                bounds = np.append(0, np.searchsorted(places, stops)).tolist()
+                left = [flat[i] for i in places.tolist()]
+                others += [list(Counter(left[a:b]).items()) for a, b in zip(bounds, bounds[1:])]
+            return [columns[0], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)],
+                    [[{"word": w, "times": n} for w, n in o] for o in others]]
 
         return run
 
-    scored = map_batches(rows, f"doc_id {kind}, n_tokens bigint, log_likelihood double", start)
-    return scored.withColumn("mean_log_prob", F.when(
+    scored = saved(map_batches(
+        rows, f"doc_id {kind}, n_tokens bigint, log_likelihood double, others array<struct<word:string,times:int>>",
+        start).withColumn("row", F.monotonically_increasing_id()))
+    joined = scored.select("row", F.explode("others").alias("o")).select("row", "o.*").join(counts, "word", "left")
+    shares = joined.groupBy("row").agg(
+        F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(1)).cast("double"))).alias("share"))
+    whole = scored.drop("others").join(shares, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))).alias("log_likelihood"))
+    return whole.withColumn("mean_log_prob", F.when(
         F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on ``docs`` and score them."""
-    words, net = fit(docs, text_col)
-    return score(docs, words, net, id_col, text_col)
+    counts = word_counts(docs, text_col)
+    words, net = fit(docs, text_col, counts=counts)
+    return score(docs, words, net, id_col, text_col, counts)

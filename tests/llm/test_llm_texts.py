@@ -165,6 +165,28 @@ def test_pseudo_likelihood_scores(spark):
     assert pseudo_likelihood.score_corpus(frame.limit(0)).count() == 0
 
 
+def test_words_outside_the_vocabulary_are_tokens_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "LISTED", 50)  # most of the rare words are joined
+    usual = [f"w{i:04d}x" for i in range(pseudo_likelihood.TOKENS - pseudo_likelihood.ENDINGS)] * 20
+    rare = ["qqing"] * 8 + ["zzing"] * 2 + ["ooing"]
+    texts = [" ".join(usual), *[f"w0001x {w} w0002x" for w in rare], "QQing\u00a0zzing", None]
+    frame = documents(spark, enumerate(texts))
+    rows = {r.doc_id: r for r in pseudo_likelihood.score_corpus(frame).collect()}
+    assert len(rows) == len(texts) and rows[12].n_tokens == 2
+    words, net = pseudo_likelihood.fit(frame)
+    found = pseudo_likelihood.Tokens(words)
+
+    def of_classes(text):
+        return float(net.log_probs(*found.of([text])[:2]).sum())
+
+    # 9 + 3 + 1 tokens of one class, so their shares add up to the class.
+    for i, n in ((1, 9), (9, 3), (11, 1)):
+        assert abs(rows[i].log_likelihood - rows[1].log_likelihood - np.log(n / 9)) < 1e-6
+    again = {r.doc_id: r for r in pseudo_likelihood.score(frame, words, net).collect()}
+    for i, share in ((1, np.log(9 / 13)), (9, np.log(3 / 13)), (12, np.log(9 / 13) + np.log(3 / 13))):
+        assert abs(again[i].log_likelihood - of_classes(texts[i]) - share) < 1e-3
+
+
 def languages(spark):
     rng = random.Random(2)
     words = {"x": ["ba", "be", "bi", "bo"], "y": ["ka", "ke", "ki", "ko"], "z": ["ma", "me", "mi", "mo"]}
