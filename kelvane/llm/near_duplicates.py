@@ -3,8 +3,9 @@
 A document is its five-word shingles weighted by TF-IDF. Improved consistent
 weighted sampling draws 30 samples of it, in 10 bands of three; documents that
 share a band are candidates, and those whose weighted Jaccard similarity, worked
-out from the whole texts, reaches the threshold are linked. Connected documents
-form a class.
+out from the whole texts, reaches the threshold are linked. Candidates are left
+out only where their total weights show that they cannot reach it. Connected
+documents form a class.
 
 Copies are one node. The members of a bucket are first compared with one hub,
 then those outside the bucket's main component with a few of its members; only
@@ -31,9 +32,6 @@ SHINGLE = 5
 BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 DF_BUCKETS = 1 << 18
-# Samples that must agree before texts are compared: at a similarity of 0.8, 24
-# are expected and fewer than 17 as rare as to share no band (1 in 1,000).
-AGREE = 17
 # Rounds in which members outside meet so many of the main component, in each of
 # their buckets. They end early where all that is left to compare is at most
 # DIRECT pairs per member.
@@ -154,13 +152,13 @@ class Sampler:
 
 
 def _sign(idf: np.ndarray):
-    """Of texts: samples, packed, and the keys of the bands; null without words."""
+    """Of texts: total weight and the keys of the bands; null without words."""
     weights, sampler = Weights(idf), Sampler()
 
     def run(columns: list[list]) -> list[list]:
         weights.shingles.words.trim()
         texts = columns[-1]
-        signed: list[bytes | None] = [None] * len(texts)
+        total: list[float | None] = [None] * len(texts)
         bands: list[list[int]] = [[] for _ in texts]
         held: list[tuple[int, np.ndarray, np.ndarray]] = []
         size = 0
@@ -169,8 +167,8 @@ def _sign(idf: np.ndarray):
             starts = np.append(0, np.cumsum([len(x[1]) for x in held])[:-1])
             found = sampler.samples(np.concatenate([x[1] for x in held]),
                                     np.concatenate([x[2] for x in held]), starts)
-            for (i, _, _), row in zip(held, found):
-                signed[i] = row.tobytes()
+            for (i, _, weight), row in zip(held, found):
+                total[i] = float(weight.sum(dtype=np.float64))
                 bands[i] = [xxhash.xxh64_intdigest(row[b * ROWS:(b + 1) * ROWS].tobytes(), b) - (1 << 63)
                             for b in range(BANDS)]
 
@@ -184,26 +182,23 @@ def _sign(idf: np.ndarray):
                 held, size = [], 0
         if held:
             flush()
-        return [*columns[:-1], signed, bands]
+        return [*columns[:-1], total, bands]
 
     return run
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many samples two signatures share."""
-    part = lambda s, k: F.substring(s, 4 * k + 1, 4)
-    total = F.lit(0)
-    for k in range(SAMPLES):
-        total = total + (part(a, k) == part(b, k)).cast("int")
-    return total
+def _possible(a: Column, b: Column, threshold: float) -> Column:
+    """Whether texts of these total weights can reach the threshold: what they
+    share is at most the smaller total, what they hold at least the larger."""
+    return F.least(a, b) >= F.greatest(a, b) * (threshold * (1 - 1e-9))
 
 
 def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, idf: np.ndarray,
             threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose samples agree enough and whose texts reach the threshold."""
+    """The pairs ``a, b`` whose texts reach the threshold."""
     named = lambda rows, c, name: rows.select(F.col("node").alias(c), F.col(name).alias(f"{name}_{c}"))
-    close = pairs.join(named(signatures, "a", "signed"), "a").join(named(signatures, "b", "signed"), "b").filter(
-        _agreeing(F.col("signed_a"), F.col("signed_b")) >= AGREE).select("a", "b")
+    close = pairs.join(named(signatures, "a", "total"), "a").join(named(signatures, "b", "total"), "b").filter(
+        _possible(F.col("total_a"), F.col("total_b"), threshold)).select("a", "b")
     joined = close.join(named(texts, "a", "text"), "a").join(named(texts, "b", "text"), "b").select(
         "a", "b", "text_a", "text_b")
 
@@ -256,16 +251,16 @@ def _with_pivots(mixed: DataFrame, turn: int) -> DataFrame:
         F.col("node").alias("a"), "b").distinct()
 
 
-def _with_all(mixed: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Members outside with all of other components, where samples agree enough."""
-    signed = saved(mixed.join(signatures.select("node", "signed"), "node"))
+def _with_all(mixed: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
+    """Members outside with all of other components that they can be linked with."""
+    signed = saved(mixed.join(signatures.select("node", "total"), "node"))
     other = signed.select("band", F.col("node").alias("b"), F.col("component").alias("component_b"),
-                          (F.col("component") != F.col("main")).alias("outside_b"), F.col("signed").alias("signed_b"))
+                          (F.col("component") != F.col("main")).alias("outside_b"), F.col("total").alias("total_b"))
     mine = signed.filter("component <> main").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("signed").alias("signed_a"))
+        "band", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("total").alias("total_a"))
     return mine.join(other, (mine["band"] == other["band"]) & (F.col("component_a") != F.col("component_b"))
                      & (~F.col("outside_b") | (F.col("a") < F.col("b")))
-                     & (_agreeing(F.col("signed_a"), F.col("signed_b")) >= AGREE)).select("a", "b").distinct()
+                     & _possible(F.col("total_a"), F.col("total_b"), threshold)).select("a", "b").distinct()
 
 
 def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
@@ -283,14 +278,14 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     idf = inverse_frequency(counts, nodes.agg(F.sum("n")).first()[0] or 0)
     # Copies are signed where they lie and folded before the shuffle; no text moves.
     signatures = saved(map_batches(rows.select("node", "text"),
-                                   "node bigint, signed binary, bands array<bigint>", lambda: _sign(idf))
-                       .filter(F.col("signed").isNotNull()).groupBy("node").agg(
-                           F.first("signed").alias("signed"), F.first("bands").alias("bands")))
+                                   "node bigint, total double, bands array<bigint>", lambda: _sign(idf))
+                       .filter(F.col("total").isNotNull()).groupBy("node").agg(
+                           F.first("total").alias("total"), F.first("bands").alias("bands")))
     every = signatures.select("node", F.explode("bands").alias("band"))
     hubs = every.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(every.join(hubs.select("band", "hub"), "band"))
     near = saved(members.select("node").distinct())
-    signatures = saved(signatures.select("node", "signed").join(near, "node"))
+    signatures = saved(signatures.select("node", "total").join(near, "node"))
     texts = saved(rows.groupBy("node").agg(F.first("text").alias("text")).join(near, "node"))
     link = lambda pairs: _linked(pairs, signatures, texts, idf, threshold)
     labels = _merged(near.select("node", F.col("node").alias("component")), link(
@@ -304,7 +299,7 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         if not left:
             break
         last = turn == ROUNDS or left <= most
-        found = link(_with_all(mixed, signatures) if last else _with_pivots(mixed, turn))
+        found = link(_with_all(mixed, signatures, threshold) if last else _with_pivots(mixed, turn))
         if not found.isEmpty():
             labels = _merged(labels, found)
         if last:

@@ -92,6 +92,34 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id: r.class_id for r in rows} == {i: least[group[i]] for i in range(len(texts))}
 
 
+def test_band_partners_are_compared_however_few_samples_agree(spark):
+    idf = near_duplicates.inverse_frequency(np.ones(near_duplicates.DF_BUCKETS, np.int64), 400)
+    weights, sampler, rng = near_duplicates.Weights(idf), near_duplicates.Sampler(), random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+
+    def signed(text):
+        shingles, weight = weights.of(text)
+        return sampler.samples(shingles, weight, np.array([0]))[0]
+
+    # An isolated pair that shares a band with fewer than half of the samples alike.
+    while True:
+        words = [word() for _ in range(60)]
+        edited = list(words)
+        for i in rng.sample(range(60), 4):
+            edited[i] = word()
+        a, b = " ".join(words), " ".join(edited)
+        same = signed(a) == signed(b)
+        if same.sum() < 15 and same.reshape(near_duplicates.BANDS, near_duplicates.ROWS).all(axis=1).any():
+            break
+    found = near_duplicates._linked(
+        spark.createDataFrame([(1, 2)], "a bigint, b bigint"),
+        spark.createDataFrame([(i, float(weights.of(t)[1].sum()), signed(t).tobytes()) for i, t in ((1, a), (2, b))],
+                              "node bigint, total double, signed binary"),
+        spark.createDataFrame([(1, a), (2, b)], "node bigint, text string"), idf,
+        weights.similarity(weights.of(a), weights.of(b)))
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
 def test_near_duplicates_keep_one_of_each_and_other_columns(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(5, text), (3, text), (3, text), (9, text + " more"), (1, "other words"), (None, "lone"), (7, None), (8, "")]
