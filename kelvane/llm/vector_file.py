@@ -107,14 +107,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     query and rank behind equal scores. Fewer than k candidates give fewer rows.
     Scores must fit a long.
 
-    Of equal vectors only the k + 1 smallest ids can be among the best k, so at
-    most those are compared, found by a row limit that runs before the shuffle.
+    Of equal vectors only rows of the k + 1 smallest ids can be among the best k,
+    as one of the ids may be the query's own, and of each id at most k rows.
+    Equal rows are counted before the shuffle.
     """
     rows = picked(vectors, vec_id=id_col, vector=vector_col).filter(usable(F.col("vector")))
     rows = rows.select("vec_id", integers(F.col("vector"), scale).alias("vector"))
     same = Window.partitionBy("vector").orderBy(F.col("vec_id").asc_nulls_last())
-    rows = saved(rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
-                 .withColumn("size", F.size("vector")))
+    rows = rows.groupBy("vector", "vec_id").agg(F.count(F.lit(1)).alias("n"))
+    # One row per id here, so a row limit is a limit of ids, and runs before the shuffle.
+    rows = rows.withColumn("place", F.row_number().over(same)).filter(F.col("place") <= k + 1)
+    rows = saved(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+                 .select("vec_id", "vector", "copy").withColumn("size", F.size("vector")))
     queries = picked(vectors, vec_id=id_col, vector=vector_col).filter(
         is_query & usable(F.col("vector")))
     queries = saved(queries.select(F.col("vec_id").alias("query_id"),

@@ -37,6 +37,15 @@ def test_top_k_equals_brute_force(spark, block):
     assert set(map(tuple, found)) == brute_top_k(rows, lambda i: i % 5 == 0, 5)
 
 
+def test_top_k_finds_the_twin_of_a_query_repeated_often(spark):
+    twin = [0.5, 0.25, -1.0]
+    rows = [(0, twin)] * 10 + [(7, twin)] * 2 + [(9, twin), (None, twin), (None, twin)]
+    rows += [(i, [0.1 * i, 0.0, 0.0]) for i in range(20, 24)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {(r.query_id, r.rank): r.vec_id for r in vector_file.top_k(frame, F.col("vec_id") == 0, 4).collect()}
+    assert found == {(0, 1): 7, (0, 2): 7, (0, 3): 9, (0, 4): None}
+
+
 def test_top_k_of_nothing_and_of_little(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert vector_file.top_k(empty, F.col("vec_id") % 5 == 0).count() == 0
