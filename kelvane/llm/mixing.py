@@ -35,7 +35,7 @@ class Classifier:
         self.__init__(*state)
 
     @staticmethod
-    def fit(texts: list[str], labels: list[str], domains: list[str], rounds: int = 100) -> Classifier:
+    def fit(texts: list[str], labels: list[str], domains: list[str], rounds: int = 200) -> Classifier:
         """``domains`` may name more than occur; those stay at probability 0."""
         seen = np.array([d in set(labels) for d in domains])
         bias = np.where(seen, 0.0, -np.inf)
@@ -108,13 +108,13 @@ def membership(text: Column, classifier: Classifier) -> Column:
     return batch_column(text, "n_tokens bigint, membership array<double>", lambda: classifier)
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """The rate after the given steps, from 1, never below 0."""
+def _rate(steps: list[list[float]], least: float = 0.0) -> Column:
+    """The rate after the given steps, from 1, never below ``least``."""
     if not steps:
         return F.lit(1.0)
     moves = F.array(*[F.array(*[F.lit(float(v)) for v in step]) for step in steps])
     along = lambda v: sum((F.col("membership")[i] * v[i] for i in range(len(steps[0]))), F.lit(0.0))
-    return F.aggregate(moves, F.lit(1.0), lambda r, v: F.greatest(F.lit(0.0), r - along(v)))
+    return F.aggregate(moves, F.lit(1.0), lambda r, v: F.greatest(F.lit(least), r - along(v)))
 
 
 def solve(members: DataFrame, weights: list[float], total: str = "same", rounds: int = 60,
@@ -123,10 +123,11 @@ def solve(members: DataFrame, weights: list[float], total: str = "same", rounds:
 
     ``weights``: share of the tokens that each domain shall have. ``total``:
     ``same`` keeps the number of tokens, ``grow`` takes the smallest one for
-    which no domain has to shrink. A document's step is its membership times the
-    gap, scaled by the inverse of the domains' overlap; with that scaling a step
-    of one never overshoots, and clipping at 0 projects onto the nonnegative
-    rates. Targets that cannot be met are met as nearly as rates allow.
+    which no domain has to shrink, with rates of 1 and more, so that no document
+    goes. A document's step is its membership times the gap, scaled by the inverse
+    of the domains' overlap; with that scaling a step of one never overshoots, and
+    clipping at the least rate (0, or 1 with ``grow``) projects onto the rates
+    allowed. Targets that cannot be met are met as nearly as rates allow.
     """
     k = len(weights)
     tokens = F.col("n_tokens").cast("double")
@@ -136,6 +137,7 @@ def solve(members: DataFrame, weights: list[float], total: str = "same", rounds:
         *[F.sum(tokens * share(i) * share(j)).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     if not sums["n"]:
         return F.lit(1.0)
+    least = 1.0 if total == "grow" else 0.0
     goal = np.array(weights, float) / sum(weights)
     now = np.array([sums[f"d{i}"] for i in range(k)]) / sums["n"]
     if total == "grow":
@@ -149,12 +151,12 @@ def solve(members: DataFrame, weights: list[float], total: str = "same", rounds:
         if np.abs(overlap @ move).max() < tolerance:
             break
         steps.append(move.tolist())
-        rated = members.agg(*[F.sum(tokens * share(i) * _rate(steps)).alias(f"d{i}") for i in range(k)]).first()
+        rated = members.agg(*[F.sum(tokens * share(i) * _rate(steps, least)).alias(f"d{i}") for i in range(k)]).first()
         after = np.array([rated[f"d{i}"] for i in range(k)]) / sums["n"]
         if np.abs(after - now).max() < tolerance:
             break
         now = after
-    return _rate(steps)
+    return _rate(steps, least)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total: str = "same",
@@ -184,9 +186,8 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], t
     """The rows of ``docs``, each as often as its rate says.
 
     The whole part of the rate counts in full; a hash of id and text decides
-    about the fraction, so that a rerun decides alike. With ``grow`` no domain
-    shrinks, so a rate between a half and one, of a text that is no clear case,
-    counts as one. Columns stay as they are.
+    about the fraction, so that a rerun decides alike. With ``grow`` the rates are
+    solved for under a least rate of 1, so no row goes. Columns stay as they are.
     """
     domains = sorted(targets)
     classifier = fit_classifier(docs, labelled, domains, id_col, text_col, label_col)
@@ -198,8 +199,6 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], t
                          F.xxhash64(F.col(f"`{id_col}`"), text).alias("hash"))
     rated = packed.select("row", "hash", membership(F.col("text"), classifier).alias("m")).select(
         "row", "hash", "m.*").select("row", "hash", rate.alias("rate"))
-    if total == "grow":
-        rated = rated.withColumn("rate", F.when(F.col("rate").between(0.5, 1.0), 1.0).otherwise(F.col("rate")))
     chance = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
     return rated.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")

@@ -255,6 +255,22 @@ def test_resampling_repeats_scarce_domains_and_drops_none(spark):
     assert len(n) == 100 and sum(n[i] for i in range(90, 100)) >= 25
 
 
+def test_growing_rates_are_solved_under_a_least_rate_of_one(spark):
+    kinds = [[0.9, 0.1]] * 60 + [[0.6, 0.4]] * 30 + [[0.3, 0.7]] * 10
+    members = spark.createDataFrame([(10, m) for m in kinds], "n_tokens bigint, membership array<double>")
+    rate = mixing.solve(members, [0.5, 0.5], total="grow", rounds=200)
+    found = {tuple(r.membership): r.rate for r in members.select("membership", rate.alias("rate")).collect()}
+    assert min(found.values()) == 1.0 and found[0.9, 0.1] == 1.0
+    # The least squares under that bound, in the solver's scaling.
+    m = np.array(kinds)
+    scale = np.linalg.pinv(m.T @ m / len(m))
+    rates = np.ones(len(m))
+    for _ in range(20_000):
+        gap = m.T @ rates / len(m) - m.mean(axis=0).max() / 0.5 * np.array([0.5, 0.5])
+        rates = np.maximum(1.0, rates - m @ scale @ gap)
+    assert all(abs(found[tuple(k)] - r) < 0.02 for k, r in zip(kinds, rates))
+
+
 def test_gradients_of_the_toxicity_network():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh(5)
