@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, host_quality, licenses, mixing, near_duplicates, personal_data, pseudo_likelihood, token_counts,
-    toxicity, vector_file,
+    byte_pairs, exact_copies, host_quality, licenses, mixing, near_duplicates, personal_data, pseudo_likelihood,
+    token_counts, toxicity, vector_file,
 )
 from kelvane.llm.common import table
 
@@ -247,3 +247,24 @@ def op10_byte_pairs(spark, folder):
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids_as="binary")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op12_exact_copies(spark, folder):
+    """The row that stays of every document's equals, which differ in white space at most."""
+    return exact_copies.mark(table(spark, folder, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+SQL["op12_exact_copies"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), r AS (
+  SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id,
+    count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST, k)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
+"""
