@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, exact_copies, host_quality, licenses, mixing, near_duplicates, personal_data, pseudo_likelihood,
-    token_counts, toxicity, vector_file,
+    byte_pairs, exact_copies, hard_negatives, host_quality, licenses, mixing, near_duplicates, personal_data,
+    pseudo_likelihood, token_counts, toxicity, vector_file,
 )
 from kelvane.llm.common import table
 
@@ -268,3 +268,37 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
 """
+
+
+@_query
+def op13_hard_negatives(spark, folder):
+    """Negatives just below the positives of every vec_id divisible by 100, with labels shifted on every seventh row."""
+    vectors = table(spark, folder, "embeddings")
+    shifted = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+                                 .otherwise(F.col("label")))
+    return hard_negatives.mine(shifted, F.col("vec_id") % 100 == 0)
+
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) WHERE n <= 5
+), r AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS n
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM r WHERE n <= 5
+"""
