@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kelvane.llm import (
     byte_pairs, exact_copies, hard_negatives, host_quality, licenses, mixing, near_duplicates, personal_data,
-    pseudo_likelihood, token_counts, toxicity, vector_file,
+    prefix_trie, pseudo_likelihood, token_counts, toxicity, vector_file,
 )
 from kelvane.llm.common import table
 
@@ -249,6 +249,60 @@ def op10_byte_pairs(spark, folder):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@_query
+def op11_prefix_trie(spark, folder):
+    """Every prefix that rebuilt conversations share, with counts over what lies below it."""
+    return prefix_trie.trie(table(spark, folder, "conversations")).drop("turn_digest")
+
+
+# Decimal c as bytes, each followed by eight shifts (-1), folded into its crc32.
+_CUT = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+  string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 6"""
+
+SQL["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, h, least(h, coalesce((SELECT count(*) FROM t WHERE t.conv_id = x.conv_id - x.conv_id % 100), 0)) AS k
+  FROM (SELECT DISTINCT conv_id, CAST({_CUT} AS BIGINT) AS h FROM t) x
+), turns AS (
+  SELECT c.conv_id, t.p AS d, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.p <= c.k
+  UNION ALL
+  SELECT c.conv_id, c.k + t.p - c.h, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.p > c.h
+), runs AS (
+  SELECT conv_id, d, text, list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d) AS run
+  FROM turns
+), members AS (
+  SELECT conv_id, d, length(text) AS chars, md5(array_to_string(run, '')) AS node,
+    CASE WHEN d = 1 THEN '' ELSE md5(array_to_string(run[1:d - 1], '')) END AS parent,
+    d = max(d) OVER (PARTITION BY conv_id) AS ended FROM runs
+  UNION ALL
+  SELECT conv_id, 0, 0, '', NULL, NOT EXISTS (SELECT 1 FROM turns WHERE turns.conv_id = c.conv_id) FROM c
+), nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM members GROUP BY node, d
+), children AS (SELECT parent AS node, d - 1 AS d, count(*) AS n FROM nodes GROUP BY ALL),
+above AS (
+  SELECT m.node AS low, m.d AS low_d, a.node, a.d
+  FROM (SELECT node, d, conv_id FROM nodes) m JOIN members a ON a.conv_id = m.conv_id AND a.d <= m.d
+), sums AS (
+  SELECT above.node, above.d, count(*) FILTER (children.n IS NULL) AS n_leaves,
+    CAST(sum((low.n_convs - 1) * low.chars) AS BIGINT) AS saved_tokens
+  FROM above JOIN nodes low ON low.node = above.low AND low.d = above.low_d
+  LEFT JOIN children ON children.node = above.low AND children.d = above.low_d
+  GROUP BY above.node, above.d
+)
+SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+  n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums USING (node, d) LEFT JOIN children USING (node, d)
+LEFT JOIN nodes up ON up.node = nodes.parent AND up.d = nodes.d - 1
+"""
+
+
 @_query
 def op12_exact_copies(spark, folder):
     """The row that stays of every document's equals, which differ in white space at most."""
