@@ -1,27 +1,19 @@
 """Metric batches on the wire: protobuf bytes to and from nested rows.
 
-``decode_batches(native=True)`` is the way for clusters: ``from_protobuf``, with
-the Spark protobuf module on the class path. Without the module there is a small
-Arrow function around the protobuf runtime, message by message in Python, as is
-``encode_batches``; both are for tests and small input. Everything behind this
-step is native Spark.
+``decode_batches(native=True)`` is ``from_protobuf``, with the Spark protobuf
+module on the class path; without the module the bytes are read by ``wire``, a
+batch of messages at a time. Everything behind this step is native Spark.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelvane import schemas
-
-try:
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-except ImportError:  # the wire step is optional
-    descriptor_pb2 = None
+from kelvane.sources import wire
 
 PACKAGE = "kelvane.wire"
 ROOT_MESSAGE = f"{PACKAGE}.Batch"
@@ -53,11 +45,8 @@ WIRE_MESSAGES = {
 }
 
 
-def available() -> bool:
-    return descriptor_pb2 is not None
-
-
 def _file_descriptor():
+    from google.protobuf import descriptor_pb2
     kinds = descriptor_pb2.FieldDescriptorProto
     scalars = {
         "string": kinds.TYPE_STRING, "bytes": kinds.TYPE_BYTES, "bool": kinds.TYPE_BOOL,
@@ -88,64 +77,10 @@ def _file_descriptor():
 
 def descriptor_set() -> bytes:
     """The message definitions as a descriptor set for ``from_protobuf``."""
+    from google.protobuf import descriptor_pb2
     return descriptor_pb2.FileDescriptorSet(file=[_file_descriptor()]).SerializeToString()
 
 
-@lru_cache(maxsize=1)
-def message_class():
-    pool = descriptor_pool.DescriptorPool()
-    pool.Add(_file_descriptor())
-    return message_factory.GetMessageClass(pool.FindMessageTypeByName(ROOT_MESSAGE))
-
-
-def _signed(value: int) -> int:
-    """An unsigned 64-bit field as the signed long a JVM reader sees."""
-    return value - 2**64 if value >= 2**63 else value
-
-
-def _value_row(value) -> dict:
-    kind = value.WhichOneof("value")
-    names = ("string_value", "int_value", "double_value", "bool_value")
-    return {n: getattr(value, n) if n == kind else None for n in names}
-
-
-def _attribute_rows(attributes) -> list[dict]:
-    return [{"key": a.key, "value": _value_row(a.value)} for a in attributes]
-
-
-def _metric_row(metric) -> dict:
-    gauge = None
-    if metric.HasField("gauge"):
-        gauge = {"data_points": [{
-            "attributes": _attribute_rows(p.attributes),
-            "time_unix_nano": _signed(p.time_unix_nano),
-            "as_double": p.as_double if p.WhichOneof("value") == "as_double" else None,
-            "as_int": p.as_int if p.WhichOneof("value") == "as_int" else None,
-        } for p in metric.gauge.data_points]}
-    return {"name": metric.name, "gauge": gauge}
-
-
-def batch_row(data: bytes | None) -> list[dict] | None:
-    """Resources of one message, or None where the bytes are no message."""
-    if not data:
-        return None
-    batch = message_class()()
-    try:
-        batch.ParseFromString(data)
-    except Exception:
-        return None
-    return [{
-        "resource": {"attributes": _attribute_rows(r.resource.attributes)},
-        "scope_metrics": [{"metrics": [_metric_row(m) for m in s.metrics]}
-                          for s in r.scope_metrics],
-    } for r in batch.resource_metrics]
-
-
-def _arrow_type(kind) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-    return to_arrow_type(kind)
-
-
 def decode_batches(messages: DataFrame, value: str = "value", native: bool = True) -> DataFrame:
     """Replace ``value`` by ``resource_metrics``, null where it cannot be read.
 
@@ -154,11 +89,12 @@ def decode_batches(messages: DataFrame, value: str = "value", native: bool = Tru
     if native:
         decoded = _from_protobuf(F.col(value))
     else:
-        arrow_type = _arrow_type(schemas.RESOURCE_METRICS)
+        from pyspark.sql.pandas.types import to_arrow_type
+        kind = to_arrow_type(schemas.RESOURCE_METRICS)
 
         @F.arrow_udf(schemas.RESOURCE_METRICS)
         def read(values: pa.Array) -> pa.Array:
-            return pa.array([batch_row(v) for v in values.to_pylist()], type=arrow_type)
+            return wire.resource_metrics(values, kind)
 
         decoded = read(F.col(value))
     return messages.withColumn("resource_metrics", decoded).drop(value)
@@ -182,43 +118,11 @@ def shaped(col: Column, kind: T.DataType) -> Column:
     return col
 
 
-def _set(**fields) -> dict:
-    return {name: value for name, value in fields.items() if value is not None}
-
-
-def _attribute_messages(attributes) -> list[dict]:
-    return [_set(key=a["key"], value=_set(**(a["value"] or {}))) for a in attributes or []]
-
-
-def _point_message(point) -> dict:
-    whole = point["as_int"] if point["as_double"] is None else None
-    return _set(
-        attributes=_attribute_messages(point["attributes"]),
-        time_unix_nano=(point["time_unix_nano"] or 0) % 2**64,
-        as_double=point["as_double"], as_int=whole)
-
-
-def _metric_message(metric) -> dict:
-    gauge = metric["gauge"]
-    if gauge is not None:
-        gauge = {"data_points": [_point_message(p) for p in gauge["data_points"] or []]}
-    return _set(name=metric["name"], gauge=gauge)
-
-
-def batch_bytes(resources: list[dict] | None) -> bytes:
-    """One message from the rows of its resources."""
-    return message_class()(resource_metrics=[{
-        "resource": {"attributes": _attribute_messages((r["resource"] or {}).get("attributes"))},
-        "scope_metrics": [{"metrics": [_metric_message(m) for m in s["metrics"] or []]}
-                          for s in r["scope_metrics"] or []],
-    } for r in resources or []]).SerializeToString()
-
-
 def encode_batches(batches: DataFrame, value: str = "value") -> DataFrame:
-    """Replace ``resource_metrics`` by message bytes."""
+    """Replace ``resource_metrics`` by message bytes; row by row, for tests and made-up input."""
 
     @F.arrow_udf("binary")
     def write(values: pa.Array) -> pa.Array:
-        return pa.array([batch_bytes(v) for v in values.to_pylist()], type=pa.binary())
+        return pa.array([wire.coded(v) for v in values.to_pylist()], type=pa.binary())
 
     return batches.withColumn(value, write("resource_metrics")).drop("resource_metrics")

@@ -215,7 +215,6 @@ def test_landed_text_payloads(spark, root, tmp_path):
     assert scan(spark, root, "readings_raw").count() == 1
 
 
-@pytest.mark.skipif(not otlp.available(), reason="no protobuf runtime")
 def test_batch_topic_to_alerts(spark, root, tmp_path):
     """All jobs in a row, each reading what the one before stored."""
     frame = spark.range(40).select(
