@@ -5,12 +5,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelvane.functions.numbers import numeric_round
+from kelvane.session import shared_root
 
 # Lower bound and label of each temperature band.
 TEMPERATURE_BANDS = [(None, "blue"), (18, "green"), (24, "yellow"), (27, "red")]
@@ -54,6 +55,42 @@ def latest_per_room(readings: DataFrame, rooms: list[str] | None = None) -> Data
         F.col("r.time").alias("time"), "room", numeric_round(F.col("r.temp_c"), 1).alias("temp_c"))
 
 
+# Days behind which the descent below reads all that is left at once.
+DESCENT_DAYS = 4096
+
+
+def latest_per_room_recent(
+    readings: DataFrame, rooms: DataFrame, newest: date | None = None, date_col: str = "event_date",
+) -> DataFrame:
+    """``latest_per_room`` of the rooms of ``rooms``, read from the newest date back.
+
+    ``readings`` is a stored table with a date partition that follows from the
+    time. The first step reads the dates from ``newest`` (by default today) on;
+    each further one only the rooms not found yet, over twice as many days; the
+    last one all that is left. So a refresh reads one date while every room
+    reports, and a room that has been silent for long costs a few steps. Rooms
+    without a reading are left out. One row per room is kept between steps.
+    """
+    shared_root(readings.sparkSession)
+    left = rooms.select("room").filter(F.col("room").isNotNull()).distinct()
+    day, days = F.col(date_col), 1
+    low, high = newest or datetime.now(timezone.utc).date(), None
+    found = None
+    while True:
+        step = readings
+        if low is not None:
+            step = step.filter(day >= F.lit(low))
+        if high is not None:
+            step = step.filter(day < F.lit(high))
+        here = latest_per_room(step.join(left, "room", "left_semi")).checkpoint()
+        found = here if found is None else found.union(here)
+        left = left.join(here.select("room"), "room", "left_anti").checkpoint()
+        if low is None or left.isEmpty():
+            return found
+        high, low = low, low - timedelta(days=days) if days <= DESCENT_DAYS else None
+        days *= 2
+
+
 def band(temp: Column, bands: list[tuple] | None = None) -> Column:
     """Label of the highest band whose lower bound is reached; bands ascend."""
     label = None

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from kelvane import schemas
 from kelvane.functions.numbers import numeric_round
-from kelvane.operators import alerts, codec, payload, rollup, windows
+from kelvane.operators import alerts, codec, dashboard, payload, rollup, windows
 from kelvane.plans import fixtures as fx
 from kelvane.plans import sql as q
 from kelvane.session import scratch_path
@@ -100,6 +100,67 @@ def hourly_refresh(spark, folder):
         numeric_round(F.col("avg_temp"), 6).alias("avg_temp"))
 
 
+LATE_WEEK = (datetime(2024, 1, 8, tzinfo=timezone.utc), datetime(2024, 1, 10, 5, tzinfo=timezone.utc))
+ROLLED_UP = datetime(2024, 1, 25, 12, 30, tzinfo=timezone.utc)
+
+
+def _ms(at: datetime) -> int:
+    return int(at.timestamp() * 1000)
+
+
+def hourly_refresh_changed(spark, folder):
+    """Readings of some hours come in late; a refresh of what changed takes them in."""
+    root = _new_root(spark, "hourly-changed")
+    rows = jobs.with_date(fx.readings(spark, folder))
+    late = F.col("time").between(*map(F.lit, LATE_WEEK)) & (F.col("arrival") % 3 == 0)
+    for part in (rows.filter(~late), rows.filter(late), rows.filter(late)):
+        tables.insert_first_wins(part, root, "readings_raw", ["arrival"], log_hours=True)
+        rollup.refresh_changed(spark, root, ROLLED_UP)
+    return scan(spark, root, "hourly_temp").select(
+        F.unix_millis("bucket").alias("bucket_ms"), "room", "min_temp", "max_temp",
+        numeric_round(F.col("avg_temp"), 6).alias("avg_temp"))
+
+
+def _commits(spark, folder, root):
+    """Commits in no order of time; one comes twice, and again under another name."""
+    rows = jobs.with_date(fx.readings(spark, folder))
+    for commit, part in (("c", 2), ("a", 0), ("b", 1), ("a", 0), ("d", 0)):
+        tables.insert_first_wins(rows.filter(F.col("arrival") % 3 == part), root, "readings_raw", ["arrival"],
+                                 commit=commit)
+
+
+def hourly_from_partials(spark, folder):
+    """The hourly rollup from what each commit stored per window."""
+    root = _new_root(spark, "hourly-partials")
+    _commits(spark, folder, root)
+    return rollup.hourly_from_partials(scan(spark, root, "window_partials")).select(
+        F.unix_millis("bucket").alias("bucket_ms"), "room", "min_temp", "max_temp",
+        numeric_round(F.col("avg_temp"), 6).alias("avg_temp"))
+
+
+def windows_from_partials(spark, folder):
+    """Five-minute windows from the same, half of the dates folded."""
+    root = _new_root(spark, "window-partials")
+    _commits(spark, folder, root)
+    tables.fold_partials(spark, root, date(2024, 1, 1), date(2024, 1, 15))
+    found = rollup.windows_from_partials(scan(spark, root, "window_partials"))
+    return found.select("room", "bucket_ms", "max_temp", numeric_round(F.col("avg_temp"), 6).alias("avg_temp"),
+                        "max_humidity", numeric_round(F.col("avg_humidity"), 6).alias("avg_humidity"))
+
+
+SILENT, SILENT_SINCE = "purchase", datetime(2024, 1, 9, tzinfo=timezone.utc)
+
+
+def latest_per_room_recent(spark, folder):
+    """Newest reading of each room, one of which is silent for weeks, by dates from the newest back."""
+    root = _new_root(spark, "latest-recent")
+    rows = fx.readings(spark, folder).filter((F.col("room") != SILENT) | (F.col("time") < F.lit(SILENT_SINCE)))
+    tables.insert_first_wins(jobs.with_date(rows), root, "readings_raw", ["arrival"])
+    stored = scan(spark, root, "readings_raw")
+    return dashboard.latest_per_room_recent(stored, stored.select("room"), date(2024, 1, 30)).select(
+        F.unix_millis("time").alias("time_ms"), "room", "temp_c")
+
+
 def stream_raw_idempotent(spark, folder):
     """Read the whole stream twice, the second time with no memory of the first."""
     root = _new_root(spark, "stream-raw")
@@ -288,6 +349,12 @@ FLAT = """flat AS (
   FROM readings WHERE arrival % 11 NOT IN (2, 3))"""
 
 
+LATE = f"time_ms BETWEEN {_ms(LATE_WEEK[0])} AND {_ms(LATE_WEEK[1])} AND arrival % 3 = 0"
+IN_COMMITS = """ranked AS (SELECT *, row_number() OVER (PARTITION BY sensor_id, time_ms
+  ORDER BY CASE arrival % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END, arrival) AS rn FROM readings),
+stored AS (SELECT * FROM ranked WHERE rn = 1)"""
+
+
 def _hours(now: datetime) -> str:
     low, high = rollup.refresh_range(now, "6 days", "1 hour")
     return (f"(time_ms >= {int(low.timestamp() * 1000)} "
@@ -305,6 +372,22 @@ JOB_QUERIES = {
         SELECT {q.floor_to('time_ms', q.HOUR)} AS bucket_ms, room, min(temp_c) AS min_temp,
         max(temp_c) AS max_temp, {q.num('avg(temp_c)', 6)} AS avg_temp FROM readings
         WHERE {' OR '.join(_hours(now) for now in REFRESHES)} GROUP BY 1, 2""")),
+    "hourly_refresh_changed": (hourly_refresh_changed, _with(
+        FIRST.format(source=f"(SELECT *, arrival + CASE WHEN {LATE} THEN 1000000000000 ELSE 0 END AS turn FROM readings)"
+                     ).replace("ORDER BY arrival", "ORDER BY turn"), select=f"""
+        SELECT {q.floor_to('time_ms', q.HOUR)} AS bucket_ms, room, min(temp_c) AS min_temp,
+        max(temp_c) AS max_temp, {q.num('avg(temp_c)', 6)} AS avg_temp FROM kept
+        WHERE rn = 1 AND time_ms < {_ms(ROLLED_UP.replace(hour=11, minute=0))} GROUP BY 1, 2""")),
+    "hourly_from_partials": (hourly_from_partials, _with(
+        IN_COMMITS, select=f"""SELECT {q.floor_to('time_ms', q.HOUR)} AS bucket_ms, room, min(temp_c) AS min_temp,
+        max(temp_c) AS max_temp, {q.num('avg(temp_c)', 6)} AS avg_temp FROM stored GROUP BY 1, 2""")),
+    "windows_from_partials": (windows_from_partials, _with(
+        IN_COMMITS, q.windows(source="stored"), select=f"SELECT {TABLE_COLUMNS} FROM w")),
+    "latest_per_room_recent": (latest_per_room_recent, _with(
+        f"""heard AS (SELECT * FROM readings WHERE room <> '{SILENT}' OR time_ms < {_ms(SILENT_SINCE)})""",
+        FIRST.format(source="heard"), """newest AS (SELECT *, row_number() OVER (
+        PARTITION BY room ORDER BY time_ms DESC, sensor_id) AS n FROM kept WHERE rn = 1)""",
+        select=f"SELECT time_ms, room, {q.num('temp_c', 1)} AS temp_c FROM newest WHERE n = 1")),
     "stream_raw_idempotent": (stream_raw_idempotent, _with(
         FIRST.format(source="readings"), select=f"SELECT {RAW_COLUMNS} FROM kept WHERE rn = 1")),
     "stream_window_5min": (stream_window_5min, _with(

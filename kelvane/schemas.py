@@ -94,6 +94,27 @@ HOURLY_TEMP = _struct(
     ("event_date", T.DateType(), False),
 )
 
+# Hours of rooms whose readings changed since they were rolled up.
+HOURLY_STALE = _struct(
+    ("bucket", T.TimestampType(), False),
+    ("room", T.StringType(), False),
+)
+
+# What one commit adds to a five-minute window; such rows merge by sums and extremes.
+WINDOW_PARTIALS = _struct(
+    ("bucket", T.TimestampType(), False),
+    ("room", T.StringType(), False),
+    ("n_temp", T.LongType(), False),
+    ("sum_temp", T.DoubleType(), True),
+    ("min_temp", T.DoubleType(), True),
+    ("max_temp", T.DoubleType(), True),
+    ("n_humidity", T.LongType(), False),
+    ("sum_humidity", T.DoubleType(), True),
+    ("max_humidity", T.DoubleType(), True),
+    ("commit", T.StringType(), True),
+    ("event_date", T.DateType(), False),
+)
+
 # In-flight form of a closed window, and of an alert, between jobs.
 WINDOW_RESULT = _struct(
     ("room", T.StringType(), False),
@@ -116,4 +137,6 @@ TABLES = {
     "readings_aggregated": (READINGS_AGGREGATED, "event_date"),
     "hourly_temp": (HOURLY_TEMP, "event_date"),
     "alerts": (ALERTS, "event_date"),
+    "hourly_stale": (HOURLY_STALE, None),
+    "window_partials": (WINDOW_PARTIALS, "event_date"),
 }

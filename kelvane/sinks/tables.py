@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from kelvane import schemas
+from kelvane.operators import rollup
 from kelvane.operators.dedup import first_wins
 from kelvane.session import shared_root
+from kelvane.sources.tables import stored_dates, stored_near
 
 # Unique keys of the stored tables; the date follows from the time and prunes.
 UNIQUE_KEYS = {
@@ -33,35 +34,20 @@ def ensure_tables(spark: SparkSession, root: str) -> None:
         writer.parquet(f"{root}/{name}")
 
 
-def _stored_near(spark: SparkSession, path: str, schema, time: str, spans: list) -> DataFrame:
-    """Stored rows within the time span of each date, listing only those dates.
-
-    Literal bounds reach the scan, so row groups outside them are skipped: a
-    small batch does not read the keys of its whole day.
-    """
-    listed = ",".join(str(s["event_date"]) for s in spans)
-    try:
-        stored = spark.read.schema(schema).option("basePath", path).parquet(
-            f"{path}/event_date={{{listed}}}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    near = [(F.col("event_date") == F.lit(s["event_date"]))
-            & F.col(time).between(F.timestamp_micros(F.lit(s["low"])), F.timestamp_micros(F.lit(s["high"])))
-            for s in spans]
-    while len(near) > 1:  # a balanced tree: many dates make no deep expression
-        near = [near[i] | near[i + 1] if i + 1 < len(near) else near[i] for i in range(0, len(near), 2)]
-    return stored.filter(near[0])
-
-
 def insert_first_wins(
     batch: DataFrame, root: str, table: str, order: list[str], keys: list[str] | None = None,
+    log_hours: bool = False, commit: str | None = None,
 ) -> None:
     """Insert rows whose key is not stored yet; of equal keys the first in ``order``.
 
     Safe to repeat: rows a failed attempt stored are found and skipped. One
     writer per table at a time.
+
+    For ``readings_raw``: ``log_hours`` notes the rooms and hours that get rows in
+    ``hourly_stale``, for ``rollup.refresh_changed``; ``commit``, a name that a
+    repeated batch bears again, adds what the rows come to per window to
+    ``window_partials``. Both are written ahead of the rows, so that no row is
+    stored without them.
     """
     spark = batch.sparkSession
     schema, _ = schemas.TABLES[table]
@@ -78,17 +64,52 @@ def insert_first_wins(
             F.min(F.unix_micros(time)).alias("low"), F.max(F.unix_micros(time)).alias("high")).collect()
         if not spans:
             return
-        stored = _stored_near(spark, path, schema, time, spans).select(*keys)
+        stored = stored_near(spark, path, schema, time, spans).select(*keys)
         # Stored keys are first cut down to those of the batch, so a large day
         # is scanned but not shuffled when the batch is small.
         taken = stored.join(winners.select(*keys), keys, "left_semi")
         fresh = winners.join(taken, keys, "left_anti").select(*schema.names)
+        if log_hours or commit:
+            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        if log_hours:
+            fresh.select(F.date_trunc("hour", time).alias("bucket"), "room").distinct().coalesce(1).write.mode(
+                "append").parquet(f"{root}/hourly_stale")
+        if commit:
+            append_partials(fresh, root, commit, [s["event_date"] for s in spans])
         fresh.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
             "event_date").parquet(path)
+        fresh.unpersist()
     finally:
         winners.unpersist()
 
 
+def append_partials(rows: DataFrame, root: str, commit: str, dates: list[date]) -> None:
+    """Add the partial windows of a commit's readings, unless they are there already.
+
+    A commit that is repeated finds its name: in a repetition the rows it stored
+    before no longer count as new, so what it wrote first must stay.
+    """
+    spark, path = rows.sparkSession, f"{root}/window_partials"
+    stored = stored_dates(spark, path, schemas.WINDOW_PARTIALS, dates)
+    if stored.filter(F.col("commit") == commit).isEmpty():
+        rollup.partials(rows).withColumn("commit", F.lit(commit)).select(*schemas.WINDOW_PARTIALS.names).hint(
+            "rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def fold_partials(spark: SparkSession, root: str, first: date, last: date) -> None:
+    """Merge the partial windows of a range of dates into one row each.
+
+    For dates whose commits are not repeated any more, while no writer works.
+    """
+    shared_root(spark)
+    path = f"{root}/window_partials"
+    rows = spark.read.schema(schemas.WINDOW_PARTIALS).parquet(path).filter(F.col("event_date").between(first, last))
+    folded = rollup.merged(rows).withColumn("commit", F.lit(None).cast("string")).select(
+        *schemas.WINDOW_PARTIALS.names).checkpoint()
+    folded.hint("rebalance", F.col("event_date")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+
+
 def compact(spark: SparkSession, root: str, table: str, first: date, last: date) -> None:
     """Rewrite the date partitions of a range as few files.
 

@@ -71,15 +71,20 @@ def positioned(batch: DataFrame) -> DataFrame:
     return rows.withColumn("position", F.struct("file", "block", line.alias("line"))).drop("file", "block")
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query a micro-batch belongs to; a new checkpoint gives a new one."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("the id of the streaming query is not known here")
+    return query
+
+
 def batch_folder(batch: DataFrame, root: str, batch_id: int) -> str:
     """A folder of this query and micro-batch: written anew when it repeats.
 
     Batches count from 0 again under a new checkpoint, but the query has a new id.
     """
-    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    if not query:
-        raise RuntimeError("the id of the streaming query is not known here")
-    return f"{root}/query={query}/batch={batch_id}"
+    return f"{root}/query={query_id(batch)}/batch={batch_id}"
 
 
 def with_date(readings: DataFrame) -> DataFrame:
@@ -88,13 +93,18 @@ def with_date(readings: DataFrame) -> DataFrame:
 
 def start_raw_job(
     readings: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-    order: list[str] | None = None,
+    order: list[str] | None = None, log_hours: bool = False, partials: bool = False,
 ) -> StreamingQuery:
-    """Store every reading once. No watermark: late readings are stored too."""
+    """Store every reading once. No watermark: late readings are stored too.
+
+    ``log_hours`` and ``partials`` keep what ``rollup.refresh_changed`` and the
+    products of partial windows need.
+    """
     order = order or ARRIVAL_ORDER
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.insert_first_wins(batch, root, "readings_raw", order)
+        commit = f"{query_id(batch)}/{batch_id}" if partials else None
+        tables.insert_first_wins(batch, root, "readings_raw", order, log_hours=log_hours, commit=commit)
 
     return (
         with_date(readings).writeStream.queryName("raw")

@@ -1,5 +1,7 @@
-from datetime import datetime, timezone
+import os
+from datetime import date, datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from kelvane import schemas
@@ -138,7 +140,6 @@ def test_topic_writer(spark, tmp_path):
 
 
 def test_compaction_keeps_rows_in_fewer_files(spark, root):
-    from datetime import date
     for i in range(4):
         insert(spark, root, [("a", i, 1.0, 0, i), ("a", 1440 + i, 1.0, 0, i)])
     before = stored(spark, root)
@@ -157,8 +158,7 @@ def test_write_settings():
 def test_stored_keys_are_read_within_the_time_of_the_batch(spark, root):
     """Literal time bounds reach the scan of stored rows."""
     insert(spark, root, [("a", i, 1.0, 0, i) for i in range(5)])
-    from datetime import date
-    near = tables._stored_near(spark, f"{root}/readings_raw", tables.schemas.READINGS_RAW, "time",
+    near = tables.stored_near(spark, f"{root}/readings_raw", tables.schemas.READINGS_RAW, "time",
                                [{"event_date": date(1970, 1, 1), "low": 60_000_000, "high": 120_000_000}])
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(time," in plan and "LessThanOrEqual(time," in plan
@@ -172,3 +172,112 @@ def test_first_wins_sorts_no_whole_rows_before_grouping(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2
     assert sorted(map(tuple, found.collect())) == [("a", 1, "y"), ("b", 3, "z")]
+
+
+def break_date(path):
+    """A file nobody can read: whoever reads its date fails."""
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/part-broken.parquet", "wb") as file:
+        file.write(b"PAR1 not really PAR1")
+
+
+DAY = 1440
+
+
+def latest(spark, root, *rooms):
+    stored = scan(spark, root, "readings_raw")
+    wanted = spark.createDataFrame([(r,) for r in rooms], "room string")
+    found = dashboard.latest_per_room_recent(stored, wanted, date(1970, 1, 31))
+    return {r.room: (int(r.time.timestamp()) // 60, r.temp_c) for r in found.collect()}
+
+
+def test_newest_per_room_reads_the_newest_dates_only(spark, root):
+    rows = [("a", 30 * DAY + 5, 1.04, 0, 0), ("b", 30 * DAY + 5, 2.0, 0, 1), ("a", 29 * DAY, 9.0, 0, 2)]
+    by_room = rows_of(spark, rows).withColumn("room", F.col("sensor_id"))
+    tables.insert_first_wins(by_room, root, "readings_raw", ["offset"])
+    old = rows_of(spark, [("c", 2 * DAY, 3.0, 0, 3), ("a", 2 * DAY, 8.0, 0, 4), ("d", 31 * DAY, 4.0, 0, 5)])
+    tables.insert_first_wins(old.withColumn("room", F.col("sensor_id")), root, "readings_raw", ["offset"])
+    assert latest(spark, root, "a", "b", "c", "d", "never", None) == {
+        "a": (30 * DAY + 5, 1.0), "b": (30 * DAY + 5, 2.0), "c": (2 * DAY, 3.0), "d": (31 * DAY, 4.0)}
+    break_date(f"{root}/readings_raw/event_date=1970-01-30")
+    assert latest(spark, root, "a", "b", "b", "d") == {
+        "a": (30 * DAY + 5, 1.0), "b": (30 * DAY + 5, 2.0), "d": (31 * DAY, 4.0)}
+    with pytest.raises(Exception, match="broken"):
+        latest(spark, root, "a", "c")
+
+
+def test_newest_per_room_of_nothing(spark, root):
+    assert latest(spark, root, "a") == {} == latest(spark, root)
+
+
+def hours(spark, root):
+    return {(int(r.bucket.timestamp()) // 3600, r.min_temp, r.max_temp)
+            for r in scan(spark, root, "hourly_temp").collect()}
+
+
+def log_of(spark, root):
+    return sorted(int(r.bucket.timestamp()) // 3600 for r in scan(spark, root, "hourly_stale").collect())
+
+
+def test_refresh_of_changed_hours(spark, root):
+    put = lambda rows: tables.insert_first_wins(
+        rows_of(spark, rows), root, "readings_raw", ["offset"], log_hours=True)
+    refresh = lambda **kw: rollup.refresh_changed(
+        spark, root, datetime(1970, 1, 9, 0, 30, tzinfo=timezone.utc), **kw)
+    refresh()  # nothing is noted
+    put([("a", 10, 1.0, 0, 0), ("a", 70, 2.0, 0, 1), ("a", 3 * DAY, 3.0, 0, 2), ("a", 8 * DAY, 4.0, 0, 3)])
+    assert log_of(spark, root) == [0, 1, 72, 192]
+    refresh()
+    assert hours(spark, root) == {(0, 1.0, 1.0), (1, 2.0, 2.0), (72, 3.0, 3.0)}
+    assert log_of(spark, root) == [192]  # not closed yet
+    # Late by a week: that hour alone is recomputed, other dates are not read.
+    for table in ("readings_raw", "hourly_temp"):
+        break_date(f"{root}/{table}/event_date=1970-01-04")
+    late = [("b", 20, 9.0, 0, 4), ("a", 10, 99.0, 0, 5)]
+    put(late)
+    assert log_of(spark, root) == [0, 192]
+    refresh(start_offset="3 hours")
+    assert log_of(spark, root) == [0, 192]  # too old for this refresh
+    refresh()
+    stored = spark.read.parquet(f"{root}/hourly_temp/event_date=1970-01-01").collect()
+    assert {(r.bucket.hour, r.min_temp, r.max_temp) for r in stored} == {(0, 1.0, 9.0), (1, 2.0, 2.0)}
+    put(late)
+    assert log_of(spark, root) == [192]
+
+
+def test_partials_count_each_row_once(spark, root):
+    put = lambda commit, rows: tables.insert_first_wins(
+        rows_of(spark, rows), root, "readings_raw", ["offset"], commit=commit)
+    first = [("a", 1, 5.0, 0, 0), ("b", 2, 7.0, 0, 1), ("a", 2000, 1.0, 0, 2)]
+    # The first attempt fails between the partials and the rows.
+    tables.append_partials(rows_of(spark, first), root, "q/0", [date(1970, 1, 1), date(1970, 1, 2)])
+    put("q/0", first)
+    put("q/0", first)
+    put("q/1", [("a", 1, 50.0, 0, 3), ("c", 3, 9.0, 0, 4)])
+
+    def found():
+        rows = rollup.merged(scan(spark, root, "window_partials")).collect()
+        return {(int(r.bucket.timestamp()) // 60, r.n_temp, r.sum_temp, r.min_temp, r.max_temp) for r in rows}
+
+    expected = {(0, 3, 21.0, 5.0, 9.0), (2000, 1, 1.0, 1.0, 1.0)}
+    assert found() == expected
+    tables.fold_partials(spark, root, date(1970, 1, 1), date(1970, 1, 1))
+    assert found() == expected and scan(spark, root, "window_partials").count() == 2
+    put("q/2", [("d", 4, 1.0, 0, 5)])
+    assert found() == {(0, 4, 22.0, 1.0, 9.0), (2000, 1, 1.0, 1.0, 1.0)}
+    stored = scan(spark, root, "readings_raw")
+    by_ms = lambda rows: sorted(map(tuple, rows.collect()))
+    assert by_ms(rollup.windows_from_partials(scan(spark, root, "window_partials"))) == by_ms(windows.tumble(stored))
+    for width in ("1 hour", "1 day"):
+        assert by_ms(rollup.hourly_from_partials(scan(spark, root, "window_partials"), width)) == by_ms(
+            rollup.hourly(stored, width))
+
+
+def test_partials_of_odd_values_equal_those_of_rows(spark):
+    values = [(0, None, None), (1, float("nan"), 1.0), (2, float("inf"), None), (3, 1.0, 2.0), (700, None, None)]
+    rows = spark.createDataFrame(values, "minute bigint, temp_c double, humidity double").select(
+        F.timestamp_seconds(F.col("minute") * 60).alias("time"), F.lit("r").alias("room"), "temp_c", "humidity")
+    parts = rollup.partials(rows.filter("minute % 2 = 0")).union(rollup.partials(rows.filter("minute % 2 = 1")))
+    assert sorted(map(repr, rollup.windows_from_partials(parts).collect())) == sorted(
+        map(repr, windows.tumble(rows).collect()))
+    assert rollup.merged(rollup.partials(rows.limit(0))).count() == 0
