@@ -113,3 +113,13 @@ def detect_alerts(
             "room", F.col("bucket_ms").alias("window_start_ms"), "max_temp",
             F.col("run_len").alias("consecutive_count"))
     )
+
+
+def run_state(window_results: DataFrame, threshold: float = MAX_TEMP_THRESHOLD, **options) -> DataFrame:
+    """``room, length, last``: each room's run at its last window, and that window.
+
+    From stored windows, what a stream has to know to go on behind them.
+    """
+    newest = F.struct("bucket_ms", "max_temp", "run_len")
+    return hot_runs(window_results, threshold, **options).groupBy("room").agg(
+        F.max_by("run_len", newest).alias("length"), F.max("bucket_ms").alias("last"))

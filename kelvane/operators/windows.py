@@ -35,6 +35,44 @@ def tumble(readings: DataFrame, width: str = "5 minutes", watermark: str | None
     )
 
 
+def sessions(
+    readings: DataFrame, gap: str = "30 minutes", gaps: dict[str, str] | None = None, watermark: str | None = None,
+) -> DataFrame:
+    """Readings of a room with no pause longer than its gap between them.
+
+    ``gaps`` names rooms with another gap than ``gap``. Columns: room,
+    ``start_ms``, ``end_ms`` (last reading plus gap), ``n``, ``max_temp``, ``avg_temp``.
+
+    A stream keeps open sessions as state; a late reading may join two of them,
+    and a session is emitted once the watermark passes its end. A table is first
+    reduced to a row per room and slot of the gap's width, whose readings are
+    always of one session, so that a room comes to one row per slot at most.
+    """
+    room_gap = F.lit(width_ms(gap)).cast("bigint")
+    for room, width in (gaps or {}).items():
+        room_gap = F.when(F.col("room") == room, F.lit(width_ms(width))).otherwise(room_gap)
+    if readings.isStreaming:
+        text = F.concat(room_gap.cast("string"), F.lit(" milliseconds"))
+        source = readings.withWatermark("time", watermark) if watermark else readings
+        found = source.groupBy(F.session_window("time", text).alias("w"), "room").agg(
+            F.count("*").alias("n"), F.max("temp_c").alias("max_temp"), F.avg("temp_c").alias("avg_temp"))
+        return found.select("room", F.unix_millis("w.start").alias("start_ms"), F.unix_millis("w.end").alias("end_ms"),
+                            "n", infinite_to_zero(F.col("max_temp")).alias("max_temp"), "avg_temp")
+    ms = to_ms(F.col("time"))
+    slots = readings.filter(F.col("time").isNotNull()).withColumn("_gap", room_gap).groupBy(
+        "room", "_gap", F.floor(ms / F.col("_gap")).alias("_slot")).agg(
+        F.min(ms).alias("_first"), F.max(ms).alias("_last"), F.count("*").alias("n"),
+        F.count("temp_c").alias("_n"), F.sum("temp_c").alias("_sum"), F.max("temp_c").alias("max_temp"))
+    in_room = Window.partitionBy("room").orderBy("_slot")
+    pause = F.col("_first") - F.lag("_last").over(in_room) > F.col("_gap")
+    numbered = slots.withColumn("_new", F.coalesce(pause, F.lit(True)).cast("int")).withColumn(
+        "_session", F.sum("_new").over(in_room))
+    return numbered.groupBy("room", "_session").agg(
+        F.min("_first").alias("start_ms"), F.max(F.col("_last") + F.col("_gap")).alias("end_ms"), F.sum("n").alias("n"),
+        infinite_to_zero(F.max("max_temp")).alias("max_temp"),
+        F.when(F.sum("_n") > 0, F.sum("_sum") / F.sum("_n")).alias("avg_temp")).drop("_session")
+
+
 def as_table_rows(window_results: DataFrame) -> DataFrame:
     """Window results in the column form of the stored table."""
     return window_results.withColumn("bucket", F.timestamp_millis("bucket_ms")).select(

@@ -13,7 +13,8 @@ from kelvane.functions.numbers import numeric_round
 from kelvane.operators import alerts, codec, dashboard, payload, rollup, windows
 from kelvane.plans import fixtures as fx
 from kelvane.plans import sql as q
-from kelvane.session import scratch_path
+from kelvane.functions.times import width_ms
+from kelvane.session import STATE_SETTINGS, conf_scope, scratch_path
 from kelvane.sinks import tables
 from kelvane.sinks.topics import file_writer
 from kelvane.sources import topics
@@ -183,6 +184,75 @@ def stream_window_5min(spark, folder):
     return _windows(spark, root)
 
 
+LAG_FROM = datetime(2024, 1, 5, tzinfo=timezone.utc)
+LAGGING = 2
+
+
+def _land_in_turn(path: str, *parts: DataFrame) -> None:
+    """A file for each part, to be read one at a time."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def stream_window_lagging(spark, folder):
+    """Of three source partitions one falls weeks behind; none of its readings is late."""
+    root = _new_root(spark, "stream-lagging")
+    rows = fx.readings(spark, folder).withColumns({
+        "partition": F.pmod("arrival", F.lit(3)).cast("int"), "offset": F.col("arrival")})
+    behind = (F.col("partition") == LAGGING) & (F.col("time") >= F.lit(LAG_FROM))
+    _land_in_turn(f"{root}/topic", rows.filter(~behind), rows.filter(behind))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/topic")
+    _finish(jobs.start_window_job(stream, root, f"{root}/checkpoint", ONCE, by_partition=True, idle="1 day",
+                                  partitions=(0, 1, LAGGING)))
+    return _windows(spark, root)
+
+
+SESSION_GAPS = {"gap": "20 minutes", "gaps": {"click": "5 minutes", "view": "45 minutes"}}
+SESSION_WAIT = "12 days"
+
+
+def _sessions(found: DataFrame) -> DataFrame:
+    return found.withColumn("avg_temp", numeric_round(F.col("avg_temp"), 6))
+
+
+def room_sessions(spark, folder):
+    """Readings of a room between pauses, with a gap of its own for some rooms."""
+    return _sessions(windows.sessions(fx.readings(spark, folder), **SESSION_GAPS))
+
+
+def stream_sessions(spark, folder):
+    """The same as a stream, every seventh reading ten days late."""
+    root = _new_root(spark, "stream-sessions")
+    rows = fx.readings(spark, folder).withColumn("turn", F.expr(
+        "least(datediff(time, DATE'2024-01-01') div 10 + IF(arrival % 7 = 0, 1, 0), 3)"))
+    _land_in_turn(f"{root}/topic", *[rows.filter(F.col("turn") == turn).drop("turn") for turn in range(4)])
+    stream = spark.readStream.schema(rows.drop("turn").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/topic")
+    with conf_scope(spark, STATE_SETTINGS):
+        _finish(windows.sessions(stream, **SESSION_GAPS, watermark=SESSION_WAIT).writeStream.outputMode("append")
+                .format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(**ONCE)
+                .start(f"{root}/sessions"))
+    return _sessions(spark.read.parquet(f"{root}/sessions"))
+
+
+SEEDED_FROM = datetime(2024, 1, 15, tzinfo=timezone.utc)
+
+
+def stream_alerts_seeded(spark, folder):
+    """A stream that starts on a later day, with the runs that stored windows come to."""
+    root = _new_root(spark, "stream-seeded")
+    found = windows.as_table_rows(fx.window_results(spark, folder))
+    tables.insert_first_wins(found, root, "readings_aggregated", ["bucket"])
+    stored = scan(spark, root, "readings_aggregated")
+    before = stored.filter(F.col("bucket") < F.lit(SEEDED_FROM))
+    since = windows.from_table_rows(stored.filter(F.col("bucket") >= F.lit(SEEDED_FROM)))
+    file_writer(f"{root}/{topics.WINDOW_TOPIC}")(codec.window_messages(since))
+    topic = topics.file_topic(spark, f"{root}/{topics.WINDOW_TOPIC}")
+    _finish(jobs.start_alert_job(
+        jobs.windows_of_messages(topic), root, f"{root}/checkpoint", ONCE,
+        runs=alerts.run_state(windows.from_table_rows(before))))
+    return _alerts(spark, root)
+
+
 def _alert_stream(spark, folder, files_per_batch):
     root = _new_root(spark, "stream-alerts")
     _window_stream(spark, folder, root)
@@ -355,6 +425,15 @@ IN_COMMITS = """ranked AS (SELECT *, row_number() OVER (PARTITION BY sensor_id,
 stored AS (SELECT * FROM ranked WHERE rn = 1)"""
 
 
+SESSIONS = """spaced AS (SELECT *, CASE room WHEN 'click' THEN 300000 WHEN 'view' THEN 2700000 ELSE 1200000 END AS gap,
+  lag(time_ms) OVER (PARTITION BY room ORDER BY time_ms) AS before FROM readings),
+islands AS (SELECT *, sum(CASE WHEN time_ms - before > gap OR before IS NULL THEN 1 ELSE 0 END)
+  OVER (PARTITION BY room ORDER BY time_ms ROWS UNBOUNDED PRECEDING) AS island FROM spaced),
+sessions AS (SELECT room, min(time_ms) AS start_ms, max(time_ms) + any_value(gap) AS end_ms, count(*) AS n,
+  max(temp_c) AS max_temp, avg(temp_c) AS mean FROM islands GROUP BY room, island)"""
+SESSION_COLUMNS = f"room, start_ms, end_ms, n, max_temp, {q.num('mean', 6)} AS avg_temp"
+
+
 def _hours(now: datetime) -> str:
     low, high = rollup.refresh_range(now, "6 days", "1 hour")
     return (f"(time_ms >= {int(low.timestamp() * 1000)} "
@@ -392,6 +471,15 @@ JOB_QUERIES = {
         FIRST.format(source="readings"), select=f"SELECT {RAW_COLUMNS} FROM kept WHERE rn = 1")),
     "stream_window_5min": (stream_window_5min, _with(
         q.windows(), CLOSED, select=f"SELECT {TABLE_COLUMNS} FROM closed")),
+    "stream_window_lagging": (stream_window_lagging, _with(
+        q.windows(), f"""closed AS (SELECT * FROM w WHERE bucket_ms + {q.FIVE_MINUTES} <= (SELECT min(m) FROM (
+          SELECT max(time_ms) AS m FROM readings GROUP BY arrival % 3)) - 10000)""",
+        select=f"SELECT {TABLE_COLUMNS} FROM closed")),
+    "room_sessions": (room_sessions, _with(SESSIONS, select=f"SELECT {SESSION_COLUMNS} FROM sessions")),
+    "stream_sessions": (stream_sessions, _with(SESSIONS, select=f"""SELECT {SESSION_COLUMNS} FROM sessions
+        WHERE end_ms <= (SELECT max(time_ms) FROM readings) - {width_ms(SESSION_WAIT)}""")),
+    "stream_alerts_seeded": (stream_alerts_seeded, _with(
+        q.windows(), q.runs(), f"raised AS ({q.ALERT_ROWS} AND bucket_ms >= {_ms(SEEDED_FROM)})", select=STORED_ALERTS)),
     "stream_alerts": (stream_alerts, _with(
         q.windows(), CLOSED, q.runs("closed"), f"raised AS ({q.ALERT_ROWS})",
         select=STORED_ALERTS)),

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -34,6 +34,10 @@ class HotRunCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "length int, last bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        run = initialState.iloc[0]
+        self.run.update((int(run["length"]), int(run["last"])))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # One row per window of the room that this micro-batch brings.
         windows = pd.concat(list(rows)).sort_values(["partition", "offset"], kind="stable")
@@ -75,9 +79,13 @@ def stream_alerts(
     gap_resets: bool = False,
     dedupe: bool = False,
     width: str = "5 minutes",
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming twin of ``detect_alerts``; needs the RocksDB state store.
 
+    ``runs`` (room, length, last) are taken over when a checkpoint is new: what
+    came before them need not be read again.
+
     Windows of a topic count in the order of (partition, offset). Without these
     columns, as from a table, a micro-batch is put in order of time, which does
     not help a window that comes in a later one than its successor. With
@@ -92,4 +100,12 @@ def stream_alerts(
         outputStructType=schemas.ALERT,
         outputMode="Append",
         timeMode="None",
+        initialState=None if runs is None else runs.select(
+            "room", F.col("length").cast("int").alias("length"), F.col("last").cast("bigint").alias("last")).groupBy("room"),
     )
+
+
+def stored_runs(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``room, length, last`` of every room, from the state of an alert job."""
+    state = spark.read.format("statestore").option("stateVarName", "run").load(checkpoint)
+    return state.select("key.room", "value.length", "value.last")

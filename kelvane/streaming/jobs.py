@@ -21,6 +21,7 @@ from kelvane.session import SINGLE_STATEFUL_SETTINGS, STATE_SETTINGS, conf_scope
 from kelvane.sinks import tables
 from kelvane.sinks.topics import TopicWriter
 from kelvane.sources import otlp
+from kelvane.streaming.clocks import live_snapshots, tumble_by_partition
 from kelvane.streaming.detector import stream_alerts
 
 log = logging.getLogger(__name__)
@@ -87,6 +88,13 @@ def batch_folder(batch: DataFrame, root: str, batch_id: int) -> str:
     return f"{root}/query={query_id(batch)}/batch={batch_id}"
 
 
+def timer_settings(trigger: dict | None) -> dict[str, str]:
+    """For state with timers: a run over what is there ends with its data, as
+    micro-batches without data would go on for ever."""
+    ends = bool(trigger) and ("availableNow" in trigger or "once" in trigger)
+    return STATE_SETTINGS | {"spark.sql.streaming.noDataMicroBatches.enabled": str(not ends).lower()}
+
+
 def with_date(readings: DataFrame) -> DataFrame:
     return readings.withColumn("event_date", F.to_date("time"))
 
@@ -116,8 +124,13 @@ def start_raw_job(
 def start_window_job(
     readings: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
     width: str = "5 minutes", watermark: str = "10 seconds", topic: TopicWriter | None = None,
+    by_partition: bool = False, idle: str = "1 minute", partitions: tuple[int, ...] = (),
 ) -> StreamingQuery:
-    """Store each closed window once and publish it."""
+    """Store each closed window once and publish it.
+
+    ``by_partition`` keeps a watermark for each source partition, of which the
+    least closes windows; see ``tumble_by_partition`` for ``idle`` and ``partitions``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         closed = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -129,9 +142,12 @@ def start_window_job(
         finally:
             closed.unpersist()
 
-    closed = windows.tumble(readings, width, watermark).observe(
-        "windows", F.count_if(F.col("room").isNull()).alias("unpublished"))
-    with conf_scope(readings.sparkSession, SINGLE_STATEFUL_SETTINGS):
+    if by_partition:
+        closed, settings = tumble_by_partition(readings, width, watermark, idle, partitions), timer_settings(trigger)
+    else:
+        closed, settings = windows.tumble(readings, width, watermark), SINGLE_STATEFUL_SETTINGS
+    closed = closed.observe("windows", F.count_if(F.col("room").isNull()).alias("unpublished"))
+    with conf_scope(readings.sparkSession, settings):
         return (
             closed.writeStream.queryName("windows").outputMode("append")
             .foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -143,8 +159,13 @@ def start_alert_job(
     window_results: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
     threshold: float = MAX_TEMP_THRESHOLD, consecutive: int = CONSECUTIVE_THRESHOLD,
     topic: TopicWriter | None = None, gap_resets: bool = False, dedupe: bool = False,
+    runs: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Store and publish alerts of window results, best read from their topic."""
+    """Store and publish alerts of window results, best read from their topic.
+
+    ``runs`` are the runs to go on from under a new checkpoint, by
+    ``alerts.run_state`` or ``detector.stored_runs``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         raised = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -157,7 +178,7 @@ def start_alert_job(
 
     with conf_scope(window_results.sparkSession, STATE_SETTINGS):
         return (
-            stream_alerts(window_results, threshold, consecutive, gap_resets, dedupe)
+            stream_alerts(window_results, threshold, consecutive, gap_resets, dedupe, runs=runs)
             .writeStream.queryName("alerts").outputMode("append")
             .foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_MINUTE)).start()
@@ -197,10 +218,10 @@ def start_snapshot_job(
     readings: DataFrame, ticks: str, checkpoint: str,
     arrival: tuple[str, ...] = ("arrival",), trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the whole latest-value snapshot at every trigger as one tick.
+    """Write the whole latest-value snapshot at every trigger with news as one tick.
 
-    Spark starts no batch without news, so ticks stop while all sensors are
-    silent; ``sampled_snapshot`` over stored readings has no such limit.
+    Spark starts no batch without news, so these ticks stop while all sensors are
+    silent; those of ``start_tick_job`` do not.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -212,3 +233,20 @@ def start_snapshot_job(
         .outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
     )
+
+
+def start_tick_job(
+    readings: DataFrame, ticks: str, checkpoint: str, period: str = "10 seconds",
+    arrival: tuple[str, ...] = ("arrival",), trigger: dict | None = None,
+) -> StreamingQuery:
+    """Write the latest values of every sensor once a period, whether it has news or not."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(batch_folder(batch, ticks, batch_id))
+
+    with conf_scope(readings.sparkSession, timer_settings(trigger)):
+        return (
+            live_snapshots(readings, period, arrival).writeStream.queryName("ticks").outputMode("append")
+            .foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": period})).start()
+        )
