@@ -18,6 +18,7 @@ from kelvane.session import STATE_SETTINGS, conf_scope, scratch_path
 from kelvane.sinks import tables
 from kelvane.sinks.topics import file_writer
 from kelvane.sources import topics
+from kelvane.sources.landed import landed_topic
 from kelvane.sources.events import as_readings, stream_events
 from kelvane.sources.tables import scan
 from kelvane.streaming import jobs
@@ -295,7 +296,7 @@ def stream_text_first_wins(spark, folder):
     lines.withColumn("part", F.floor(F.col("arrival") / 1000)).repartitionByRange("part").sortWithinPartitions(
         "part", "copy", "arrival").select("value").write.text(f"{root}/landed")
     _finish(jobs.start_payload_job(
-        topics.text_topic(spark, f"{root}/landed"), root, f"{root}/rejects", f"{root}/checkpoint", ONCE))
+        landed_topic(spark, f"{root}/landed", settle=0, span_bytes=1 << 20), root, f"{root}/rejects", f"{root}/checkpoint", ONCE))
     return _raw(spark, root)
 
 

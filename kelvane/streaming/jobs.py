@@ -8,10 +8,11 @@ windows, rejects and ticks as they are; alerts and topic messages come twice.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.storagelevel import StorageLevel
 
 from kelvane.operators import batch as batches
@@ -54,7 +55,9 @@ def windows_of_messages(topic: DataFrame) -> DataFrame:
 def readings_of_payloads(topic: DataFrame) -> DataFrame:
     """Good readings of a topic of JSON payloads, with their arrival order."""
     order = F.struct("file", "block") if "file" in topic.columns else F.lit(0)
-    placed = topic.drop("key").withColumn("position", order)
+    placed = topic.drop("key")
+    if "position" not in topic.columns:
+        placed = placed.withColumn("position", order)
     return payload.accepted(payload.parse_payloads(placed), keep=tuple(ARRIVAL_ORDER))
 
 
@@ -185,33 +188,77 @@ def start_alert_job(
         )
 
 
+class OutcomeCounts(StreamingQueryListener):
+    """Hands on the numbers of accepted and rejected payloads of each micro-batch.
+
+    They come with the progress of the query that observes them, so no job counts
+    again what has been decoded.
+    """
+
+    def __init__(self, tell: Callable[[int, int, int], None]) -> None:
+        self.tell, self.query = tell, None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        counts = progress.observedMetrics.get("payloads")
+        if counts is not None and (self.query is None or str(progress.id) == self.query):
+            self.tell(progress.batchId, counts["accepted"], counts["rejected"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def _log_outcomes(batch: int, accepted: int, rejected: int) -> None:
+    log.info("batch %d: %d payloads accepted, %d rejected", batch, accepted, rejected)
+
+
 def start_payload_job(
     topic: DataFrame, root: str, rejects: str, checkpoint: str, trigger: dict | None = None,
+    outcomes: Callable[[int, int, int], None] = _log_outcomes,
 ) -> StreamingQuery:
     """Decode payloads, store the good readings and keep the bad with a reason.
 
-    Of each micro-batch, the numbers of accepted and rejected payloads are logged.
+    ``outcomes`` gets the number of each micro-batch, of its accepted and of its
+    rejected payloads; by default they are logged.
     """
+    # Lines of Spark's text source find their place only where they are processed.
+    in_stream = "file" not in topic.columns
+    rows = topic
+    if in_stream:
+        rows = rows.drop("key") if "position" in rows.columns else rows.drop("key").withColumn("position", F.lit(0))
+        rows = payload.count_outcomes(payload.parse_payloads(rows))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = payload.parse_payloads(positioned(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = batch if in_stream else payload.parse_payloads(positioned(batch))
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = payload.accepted(parsed, keep=tuple(ARRIVAL_ORDER))
             tables.insert_first_wins(with_date(good), root, "readings_raw", ARRIVAL_ORDER)
             # A repeated batch replaces its own rejects.
             payload.rejected(parsed, keep=("partition", "offset")).write.mode(
                 "overwrite").parquet(batch_folder(batch, rejects, batch_id))
-            bad = F.col("reject_reason").isNotNull()
-            counts = parsed.agg(F.count_if(~bad), F.count_if(bad)).first()
-            log.info("batch %d: %d payloads accepted, %d rejected", batch_id, *counts)
+            if not in_stream:
+                bad = F.col("reject_reason").isNotNull()
+                outcomes(batch_id, *parsed.agg(F.count_if(~bad), F.count_if(bad)).first())
         finally:
             parsed.unpersist()
 
-    return (
-        topic.writeStream.queryName("payloads")
+    listener = OutcomeCounts(outcomes)
+    if in_stream:
+        topic.sparkSession.streams.addListener(listener)
+    query = (
+        rows.writeStream.queryName("payloads")
         .foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_MINUTE)).start()
     )
+    listener.query = str(query.id)
+    return query
 
 
 def start_snapshot_job(
