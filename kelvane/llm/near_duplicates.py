@@ -36,6 +36,8 @@ DF_BUCKETS = 1 << 18
 # their buckets. They end early where all that is left to compare is at most
 # DIRECT pairs per member.
 ROUNDS, PIVOTS, DIRECT = 1, 12, 10
+# Bits of a text's shingle mask, in words of 64.
+MASK_BITS = 512
 _MEMO = 400_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -60,6 +62,13 @@ class Shingles:
         return np.unique(rolled, return_counts=True)
 
 
+def mask_of(shingles: np.ndarray) -> list[int]:
+    """One bit for each shingle, several may share one, as signed 64-bit words."""
+    bits = np.zeros(MASK_BITS, bool)
+    bits[(shingles >> np.uint64(8)).astype(np.int64) % MASK_BITS] = True
+    return np.packbits(bits).view(np.int64).tolist()
+
+
 def _bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(20)).astype(np.int64) % DF_BUCKETS
 
@@ -152,13 +161,14 @@ class Sampler:
 
 
 def _sign(idf: np.ndarray):
-    """Of texts: total weight and the keys of the bands; null without words."""
+    """Of texts: total weight, shingle mask and the keys of the bands; null without words."""
     weights, sampler = Weights(idf), Sampler()
 
     def run(columns: list[list]) -> list[list]:
         weights.shingles.words.trim()
         texts = columns[-1]
         total: list[float | None] = [None] * len(texts)
+        masks: list[list[int]] = [[] for _ in texts]
         bands: list[list[int]] = [[] for _ in texts]
         held: list[tuple[int, np.ndarray, np.ndarray]] = []
         size = 0
@@ -167,8 +177,9 @@ def _sign(idf: np.ndarray):
             starts = np.append(0, np.cumsum([len(x[1]) for x in held])[:-1])
             found = sampler.samples(np.concatenate([x[1] for x in held]),
                                     np.concatenate([x[2] for x in held]), starts)
-            for (i, _, weight), row in zip(held, found):
+            for (i, shingles, weight), row in zip(held, found):
                 total[i] = float(weight.sum(dtype=np.float64))
+                masks[i] = mask_of(shingles)
                 bands[i] = [xxhash.xxh64_intdigest(row[b * ROWS:(b + 1) * ROWS].tobytes(), b) - (1 << 63)
                             for b in range(BANDS)]
 
@@ -182,23 +193,39 @@ def _sign(idf: np.ndarray):
                 held, size = [], 0
         if held:
             flush()
-        return [*columns[:-1], total, bands]
+        return [*columns[:-1], total, masks, bands]
 
     return run
 
 
-def _possible(a: Column, b: Column, threshold: float) -> Column:
-    """Whether texts of these total weights can reach the threshold: what they
-    share is at most the smaller total, what they hold at least the larger."""
-    return F.least(a, b) >= F.greatest(a, b) * (threshold * (1 - 1e-9))
+def _possible(a: str, b: str, threshold: float) -> Column:
+    """Whether texts ``a`` and ``b`` can reach the threshold, by total weight and mask.
+
+    A bit that only one text has stands for a shingle, of weight 1 at least, that
+    the other has not. So what they share is at most the total weight of either
+    less its own such bits. No pair that reaches the threshold is lost.
+    """
+    def without(x: str, y: str) -> Column:
+        only = [F.bit_count(F.col(f"mask_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"mask_{y}")[i])))
+                for i in range(MASK_BITS // 64)]
+        return F.col(f"total_{x}") - sum(only[1:], only[0])
+
+    shared = F.least(without(a, b), without(b, a))
+    return shared * (1 + threshold) >= (F.col(f"total_{a}") + F.col(f"total_{b}")) * (threshold * (1 - 1e-5))
+
+
+def _signed(rows: DataFrame, signatures: DataFrame, node: str) -> DataFrame:
+    """``rows`` with the total weight and mask of the texts in column ``node``."""
+    return rows.join(signatures.select(F.col("node").alias(node), F.col("total").alias(f"total_{node}"),
+                                       F.col("mask").alias(f"mask_{node}")), node)
 
 
 def _linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, idf: np.ndarray,
             threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose texts reach the threshold."""
     named = lambda rows, c, name: rows.select(F.col("node").alias(c), F.col(name).alias(f"{name}_{c}"))
-    close = pairs.join(named(signatures, "a", "total"), "a").join(named(signatures, "b", "total"), "b").filter(
-        _possible(F.col("total_a"), F.col("total_b"), threshold)).select("a", "b")
+    close = _signed(_signed(pairs, signatures, "a"), signatures, "b").filter(
+        _possible("a", "b", threshold)).select("a", "b")
     joined = close.join(named(texts, "a", "text"), "a").join(named(texts, "b", "text"), "b").select(
         "a", "b", "text_a", "text_b")
 
@@ -242,25 +269,27 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return saved(placed.join(main, "band"))
 
 
-def _with_pivots(mixed: DataFrame, turn: int) -> DataFrame:
-    """Members outside with a few of the main component, others every turn."""
+def _with_pivots(mixed: DataFrame, signatures: DataFrame, threshold: float, turn: int) -> DataFrame:
+    """Members outside with those of a few of the main component, others every
+    turn, that they can be linked with."""
     order = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(turn)), "node")
     pivots = mixed.filter("component = main").withColumn("place", F.row_number().over(order)).filter(
         F.col("place") <= PIVOTS).select("band", F.col("node").alias("b"))
-    return mixed.filter("component <> main").join(pivots, "band").select(
-        F.col("node").alias("a"), "b").distinct()
+    outside = mixed.filter("component <> main").select("band", F.col("node").alias("a"))
+    mine, other = _signed(outside, signatures, "a"), _signed(pivots, signatures, "b")
+    return mine.join(other, (mine["band"] == other["band"]) & _possible("a", "b", threshold)).select("a", "b").distinct()
 
 
 def _with_all(mixed: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
     """Members outside with all of other components that they can be linked with."""
-    signed = saved(mixed.join(signatures.select("node", "total"), "node"))
-    other = signed.select("band", F.col("node").alias("b"), F.col("component").alias("component_b"),
-                          (F.col("component") != F.col("main")).alias("outside_b"), F.col("total").alias("total_b"))
-    mine = signed.filter("component <> main").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("total").alias("total_a"))
+    other = _signed(mixed.select(
+        "band", F.col("node").alias("b"), F.col("component").alias("component_b"),
+        (F.col("component") != F.col("main")).alias("outside_b")), signatures, "b")
+    mine = _signed(mixed.filter("component <> main").select(
+        "band", F.col("node").alias("a"), F.col("component").alias("component_a")), signatures, "a")
     return mine.join(other, (mine["band"] == other["band"]) & (F.col("component_a") != F.col("component_b"))
                      & (~F.col("outside_b") | (F.col("a") < F.col("b")))
-                     & _possible(F.col("total_a"), F.col("total_b"), threshold)).select("a", "b").distinct()
+                     & _possible("a", "b", threshold)).select("a", "b").distinct()
 
 
 def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
@@ -278,14 +307,15 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     idf = inverse_frequency(counts, nodes.agg(F.sum("n")).first()[0] or 0)
     # Copies are signed where they lie and folded before the shuffle; no text moves.
     signatures = saved(map_batches(rows.select("node", "text"),
-                                   "node bigint, total double, bands array<bigint>", lambda: _sign(idf))
-                       .filter(F.col("total").isNotNull()).groupBy("node").agg(
-                           F.first("total").alias("total"), F.first("bands").alias("bands")))
+                                   "node bigint, total double, mask array<bigint>, bands array<bigint>",
+                                   lambda: _sign(idf))
+                       .filter(F.col("total").isNotNull()).groupBy("node").agg(*[
+                           F.first(c).alias(c) for c in ("total", "mask", "bands")]))
     every = signatures.select("node", F.explode("bands").alias("band"))
     hubs = every.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(every.join(hubs.select("band", "hub"), "band"))
     near = saved(members.select("node").distinct())
-    signatures = saved(signatures.select("node", "total").join(near, "node"))
+    signatures = saved(signatures.select("node", "total", "mask").join(near, "node"))
     texts = saved(rows.groupBy("node").agg(F.first("text").alias("text")).join(near, "node"))
     link = lambda pairs: _linked(pairs, signatures, texts, idf, threshold)
     labels = _merged(near.select("node", F.col("node").alias("component")), link(
@@ -299,7 +329,7 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
         if not left:
             break
         last = turn == ROUNDS or left <= most
-        found = link(_with_all(mixed, signatures, threshold) if last else _with_pivots(mixed, turn))
+        found = link(_with_all(mixed, signatures, threshold) if last else _with_pivots(mixed, signatures, threshold, turn))
         if not found.isEmpty():
             labels = _merged(labels, found)
         if last:

@@ -92,6 +92,37 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id: r.class_id for r in rows} == {i: least[group[i]] for i in range(len(texts))}
 
 
+def signatures_of(spark, weights, texts):
+    rows = [(i, float(w.sum(dtype=np.float64)), near_duplicates.mask_of(s)) for i, t in texts for s, w in [weights.of(t)]]
+    return spark.createDataFrame(rows, "node bigint, total double, mask array<bigint>")
+
+
+def test_masks_rule_out_no_pair_that_reaches_the_threshold(spark):
+    counts = np.random.default_rng(1).integers(1, 400, near_duplicates.DF_BUCKETS)
+    weights, rng = near_duplicates.Weights(near_duplicates.inverse_frequency(counts, 400)), random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts, pairs = [], []
+    for size in (1, 3, 20, 60, 200, 900, 3000):
+        words = [word() for _ in range(size)]
+        for edits in (0, 1, 2, 5, 20, 60):
+            edited = list(words)
+            for _ in range(min(edits, size)):
+                edited[rng.randrange(size)] = word()
+            edited += edited[:rng.choice([0, 0, size // 4])]
+            texts += [" ".join(words), " ".join(edited)]
+            pairs.append((len(texts) - 2, len(texts) - 1))
+    vectors = [weights.of(t) for t in texts]
+    signed = signatures_of(spark, weights, enumerate(texts))
+    frame = near_duplicates._signed(near_duplicates._signed(
+        spark.createDataFrame(pairs, "a bigint, b bigint"), signed, "a"), signed, "b")
+    ruled_out = 0
+    for threshold in (0.3, 0.6, 0.8, 0.95):
+        possible = {(r.a, r.b) for r in frame.filter(near_duplicates._possible("a", "b", threshold)).collect()}
+        assert all((a, b) in possible for a, b in pairs if weights.similarity(vectors[a], vectors[b]) >= threshold)
+        ruled_out += len(pairs) - len(possible)
+    assert ruled_out > 40
+
+
 def test_band_partners_are_compared_however_few_samples_agree(spark):
     idf = near_duplicates.inverse_frequency(np.ones(near_duplicates.DF_BUCKETS, np.int64), 400)
     weights, sampler, rng = near_duplicates.Weights(idf), near_duplicates.Sampler(), random.Random(3)
@@ -113,8 +144,7 @@ def test_band_partners_are_compared_however_few_samples_agree(spark):
             break
     found = near_duplicates._linked(
         spark.createDataFrame([(1, 2)], "a bigint, b bigint"),
-        spark.createDataFrame([(i, float(weights.of(t)[1].sum()), signed(t).tobytes()) for i, t in ((1, a), (2, b))],
-                              "node bigint, total double, signed binary"),
+        signatures_of(spark, weights, [(1, a), (2, b)]),
         spark.createDataFrame([(1, a), (2, b)], "node bigint, text string"), idf,
         weights.similarity(weights.of(a), weights.of(b)))
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
