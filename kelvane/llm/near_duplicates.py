@@ -37,7 +37,7 @@ DF_BUCKETS = 1 << 18
 # DIRECT pairs per member.
 ROUNDS, PIVOTS, DIRECT = 1, 12, 10
 # Bits of a text's shingle mask, in words of 64.
-MASK_BITS = 512
+MASK_BITS = 1024
 _MEMO = 400_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -281,15 +281,21 @@ def _with_pivots(mixed: DataFrame, signatures: DataFrame, threshold: float, turn
 
 
 def _with_all(mixed: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
-    """Members outside with all of other components that they can be linked with."""
+    """Members outside with all of other components that they can be linked with.
+
+    Two texts that share several bands meet in the least of them: as their
+    components differ, one of them is outside in each.
+    """
+    bands = lambda node: signatures.select(F.col("node").alias(node), F.col("bands").alias(f"bands_{node}"))
     other = _signed(mixed.select(
         "band", F.col("node").alias("b"), F.col("component").alias("component_b"),
-        (F.col("component") != F.col("main")).alias("outside_b")), signatures, "b")
+        (F.col("component") != F.col("main")).alias("outside_b")), signatures, "b").join(bands("b"), "b")
     mine = _signed(mixed.filter("component <> main").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("component_a")), signatures, "a")
+        "band", F.col("node").alias("a"), F.col("component").alias("component_a")), signatures, "a").join(bands("a"), "a")
     return mine.join(other, (mine["band"] == other["band"]) & (F.col("component_a") != F.col("component_b"))
                      & (~F.col("outside_b") | (F.col("a") < F.col("b")))
-                     & _possible("a", "b", threshold)).select("a", "b").distinct()
+                     & _possible("a", "b", threshold)
+                     & (F.array_min(F.array_intersect("bands_a", "bands_b")) == mine["band"])).select("a", "b")
 
 
 def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
@@ -315,7 +321,7 @@ def text_classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     hubs = every.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(every.join(hubs.select("band", "hub"), "band"))
     near = saved(members.select("node").distinct())
-    signatures = saved(signatures.select("node", "total", "mask").join(near, "node"))
+    signatures = saved(signatures.join(near, "node"))
     texts = saved(rows.groupBy("node").agg(F.first("text").alias("text")).join(near, "node"))
     link = lambda pairs: _linked(pairs, signatures, texts, idf, threshold)
     labels = _merged(near.select("node", F.col("node").alias("component")), link(
@@ -360,7 +366,9 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their class, once each.
 
-    In a class without ids one of its texts stays. Rows are kept as they are.
+    In a class without ids one of its texts stays. Rows are kept as they are;
+    further columns may have any name. Null texts are empty; of rows that tie in
+    id and text one stays; an empty table gives no rows.
     """
     texts = text_classes(docs, threshold, id_col, text_col)
     node = unused(docs, "node")
