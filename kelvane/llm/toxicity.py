@@ -239,15 +239,17 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 64)
     docs = [np.array([index.setdefault(w, len(index)) for w in words_of(t)] or [0], dtype=np.int64)
             for t in texts]
     index = index or {"": 0}
-    listed = [grams_of(w) for w in index]
+    listed = [np.array(grams_of(w), np.int32) for w in index]
     sizes = np.array([len(g) for g in listed])
-    grams, offsets = np.concatenate([np.array(g) for g in listed]), np.append(0, np.cumsum(sizes)[:-1])
+    grams = np.concatenate(listed).astype(np.int64)
+    offsets = np.append(0, np.cumsum(sizes)[:-1])
+    del listed
     counts = np.zeros((2, len(index)))
     gram_counts = np.zeros((2, BUCKETS))
     for words, label in zip(docs, labels):
         own = np.unique(words)
         counts[label, own] += 1
-        seen = np.unique(np.concatenate([listed[i] for i in own]))
+        seen = np.unique(np.concatenate([grams[offsets[i]:offsets[i] + sizes[i]] for i in own]))
         gram_counts[label, seen] += 1
 
     def odds(toxic_less: int, clean_less: int):
@@ -297,7 +299,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 64)
         elif turn < rounds:
             value = np.empty(len(rows))
             for label in (0, 1):
-                table = np.vstack([_no_word(), net.drive(net.inputs(ids, by_label[label], grams, offsets))])
+                table = _drives(net, ids, by_label[label], grams, offsets)
                 own = np.flatnonzero(target == label)
                 for part in np.array_split(own, len(own) // 2048 + 1):
                     value[part] = window_logits(net, table, np.where(mask[part], rows[part] + 1, 0))
@@ -314,6 +316,19 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 64)
     return net
 
 
+def _drives(net: Network, ids, odds, grams, offsets, part: int = 4096) -> np.ndarray:
+    """``Network.drive`` of all words behind a row of no word, a part at a time:
+    what it takes in between is several times as large."""
+    table = np.empty((len(ids) + 1, 6 * UNITS), np.float32)
+    table[:1] = _no_word()
+    bounds = np.append(offsets, len(grams))
+    for a in range(0, len(ids), part):
+        b = min(a + part, len(ids))
+        table[a + 1:b + 1] = net.drive(net.inputs(
+            ids[a:b], odds[a:b], grams[bounds[a]:bounds[b]], offsets[a:b] - offsets[a]))
+    return table
+
+
 def _step(net, adam, ids, by_label, grams, offsets, sizes, rows, mask, target, gain) -> None:
     """One step of gradient descent on a batch of windows."""
     keys, inverse = np.unique(rows * 2 + target[:, None], return_inverse=True)
@@ -458,7 +473,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col:
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
              text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """The rows of ``docs`` whose score stays below the threshold, as they are."""
+    """The rows of ``docs`` whose score stays below the threshold, as they are.
+
+    Null and empty texts score as a window without words. Rows repeated whole all
+    stay or go; without labels of both classes every text has one score. Further
+    columns may have any name; an empty table gives no rows.
+    """
     net = fit(docs, labels, id_col, text_col, label_col)
     name = unused(docs, "score")
     scored = docs.withColumn(name, score(F.col(f"`{text_col}`"), net))
