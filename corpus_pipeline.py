@@ -3,6 +3,9 @@
 Every stage but the last takes and returns rows with the columns of
 ``documents``; ``run`` writes each result as Parquet into the shared folder and
 reads it again for the next.
+
+In every stage null texts are empty and null ids are ids like others; further
+columns stay, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,14 +25,22 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents scored below the threshold; the rest go.
 
     The network learns from the labelled documents among ``docs`` whose labels
-    are not held out.
+    are not held out. Texts without words have one score for all; of rows
+    repeated whole all stay or go; without labels of both classes every text has
+    the same score.
     """
     prepare(spark)
     return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document with the smallest id."""
+    """Of each class of near duplicates, the document with the smallest id.
+
+    Texts that are null or empty are one class, other texts without words are
+    alike only if equal. Of rows that tie in id and text one stays, also where
+    they differ elsewhere; a document without id stays only where its class has
+    no id.
+    """
     prepare(spark)
     return near_duplicates.one_of_each(docs)
 
@@ -37,7 +48,8 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with each span of personal data replaced by its kind; ``n_chars`` follows.
 
-    Documents without spans stay as they are.
+    Documents without spans stay as they are, null and empty texts among them;
+    rows repeated whole are changed alike.
     """
     prepare(spark)
     marked, spans = unused(docs, "marked"), unused(docs, "spans")
@@ -53,7 +65,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target shares of the languages ask for.
 
     The total grows until no language has to shrink: scarce languages repeat,
-    and no document goes for its language's sake.
+    and no document goes for its language's sake. Texts without words weigh
+    nothing; rows that agree in id and text repeat equally often; without labels
+    every document stays once.
     """
     prepare(spark)
     labels = table(spark, sf_dir, "labels")
@@ -61,7 +75,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of identifiers and decoded text, for every row."""
+    """Token count and digests of identifiers and decoded text, for every row.
+
+    Null and empty texts have no tokens; rows repeated whole are each returned.
+    """
     prepare(spark)
     coded = byte_pairs.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), ids_as="binary")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),

@@ -188,6 +188,10 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], t
     The whole part of the rate counts in full; a hash of id and text decides
     about the fraction, so that a rerun decides alike. With ``grow`` the rates are
     solved for under a least rate of 1, so no row goes. Columns stay as they are.
+
+    Null and empty texts weigh nothing and follow the classifier's bias; rows
+    that agree in id and text repeat equally often; without labels every rate is
+    1; an empty table gives no rows.
     """
     domains = sorted(targets)
     classifier = fit_classifier(docs, labelled, domains, id_col, text_col, label_col)

@@ -261,6 +261,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def with_spans(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     """``docs`` with their spans as a further column.
 
+    Null and empty texts have none; rows repeated whole have the same; further
+    columns may have any name but ``name``; an empty table gives no rows.
     Patterns run once for the votes and once for the result: cheaper than
     shuffling whole texts to meet their spans.
     """

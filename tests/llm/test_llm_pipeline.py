@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from kelvane.llm.common import saved
 from kelvane.llm import byte_pairs, near_duplicates, personal_data, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,7 +74,7 @@ def test_queries_are_registered(spark):
     import __spark_entry__ as contract
     names = set(contract.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
 
@@ -84,7 +85,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_native_queries_run_no_python(spark):
-    for name in ("op3_licenses", "op6_personal_data", "op7_quality_rules"):
+    for name in ("op3_licenses", "op6_personal_data", "op7_quality_rules", "op12_exact_copies"):
         plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
@@ -94,3 +95,33 @@ def test_empty_documents_pass_through_every_stage(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, FOLDER)
         assert docs.count() == 0, name
+
+
+def test_odd_documents_pass_through_every_stage(spark):
+    """Nulls, empty and very long texts, repeated rows, extra columns with the operators' own names."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    long = " ".join(f"word{i % 700}" for i in range(6_000))
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (-1, "", "en", "s", 0), (-2, None, None, "s", None), (-3, " \n\t", "en", None, 3),
+         (-4, long, "en", "s", len(long)), (-5, "twin words of a text", "en", "s", 20), (-5, "twin words of a text", "en", "s", 20),
+         (None, "no id here", "fr", "s", 10), (-6, "write to a.b@example.com now", "en", "s", 28)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    rows = docs.select(*odd.columns).union(odd)
+    for name in ("score", "node", "spans", "rate", "row", "hash", "marked", "m", "n_tokens"):
+        rows = rows.withColumn(name, F.lit(f"own {name}"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, rows = rows, saved(stage(spark, rows, FOLDER))
+        kept[name] = rows.collect()
+        if name != "byte_pairs":
+            assert rows.dtypes == before.dtypes, name
+            assert all(r.score == "own score" and r.m == "own m" for r in kept[name])
+    ids = lambda name: [r.doc_id for r in kept[name]]
+    assert ids("toxicity").count(-5) == 2 and {-1, -2, -3, -4, -6, None} <= set(ids("toxicity"))
+    # Null and empty texts are alike; so is the one of white space to itself alone.
+    assert ids("near_duplicates").count(-5) == 1 and sorted(i for i in ids("near_duplicates") if i in (-1, -2)) == [-2]
+    assert {-3, -4, None} <= set(ids("near_duplicates"))
+    texts = {r.doc_id: (r.text, r.n_chars) for r in kept["personal_data"]}
+    assert texts[-6] == ("write to <EMAIL> now", 20) and texts[-4] == (long, len(long)) and texts[-2] == (None, None)
+    assert set(ids("mixing")) == set(ids("personal_data")) == set(ids("near_duplicates"))
+    assert len(kept["byte_pairs"]) == len(kept["mixing"]) and {r.n_tokens for r in kept["byte_pairs"] if r.doc_id == -2} == {0}
