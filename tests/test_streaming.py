@@ -1,6 +1,7 @@
 """Streams over files: late rows, replay, restart, and equality with the batch twins."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,10 @@ def test_payload_counts_are_logged(spark, root, tmp_path, caplog):
     with caplog.at_level("INFO", "kelvane.streaming.jobs"):
         finish(jobs.start_payload_job(topics.file_topic(spark, topic), root, str(tmp_path / "bad"),
                                       str(tmp_path / "c"), ONCE))
+        for _ in range(100):  # the progress of a query is told behind its end
+            if caplog.text:
+                break
+            time.sleep(0.1)
     assert "0 payloads accepted, 2 rejected" in caplog.text
 
 
