@@ -13,14 +13,14 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelvane.llm.common import map_batches, picked, saved
+from kelvane.llm.common import picked, saved
 from kelvane.llm.merges import Memo
 
 CLASSES, PER_CLASS = 32, 64
@@ -99,27 +99,43 @@ def _class_counts(counts: DataFrame, words: list[str]) -> np.ndarray:
 
 
 class Tokens:
-    """Texts as token numbers: a word of the vocabulary, or the class of its ending."""
+    """Texts as token numbers: a word of the vocabulary, or the class of its ending.
 
-    def __init__(self, words: list[str]) -> None:
-        self.known = {w: i for i, w in enumerate(words)}
+    ``listed`` words have numbers of their own behind the tokens, which tell
+    token and share at once, so that each word of a text is looked up one time.
+    """
+
+    def __init__(self, words: list[str], listed: dict[str, float] | None = None) -> None:
+        numbers = {w: i for i, w in enumerate(words)}
+        others = [w for w in listed or () if w not in numbers]
+        # Token of each number, and its share where the number tells it.
+        self.token = np.append(np.arange(TOKENS), [TOKENS - ENDINGS + _ending(w) for w in others]).astype(np.int64)
+        self.share = np.zeros(len(self.token))
+        self.share[TOKENS - ENDINGS:TOKENS] = np.nan
+        self.share[TOKENS:] = [listed[w] for w in others]
+        self.known = numbers | {w: TOKENS + i for i, w in enumerate(others)}
         self.memo = Memo(self._number, MEMO)
 
     def _number(self, word: str) -> int:
         number = self.known.get(word)
         return TOKENS - ENDINGS + _ending(word) if number is None else number
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Targets, their contexts, and the number of tokens of each text."""
+    def read(self, texts: list[str | None]):
+        """Words and their numbers, targets, contexts, and the number of tokens of each text."""
         self.memo.trim()
-        words = [_words(t) for t in texts]
-        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        split = [_words(t) for t in texts]
+        sizes = np.array([len(w) for w in split], dtype=np.int64)
+        words = list(chain.from_iterable(split))
         edge = len(OFFSETS) // 2
-        padded = np.full(int(sizes.sum()) + edge * (len(texts) + 1), EDGE, np.int64)
-        places = np.arange(sizes.sum()) + edge * (1 + np.repeat(np.arange(len(texts)), sizes))
-        get = self.memo.__getitem__
-        padded[places] = np.fromiter((n for w in words for n in map(get, w)), np.int64, int(sizes.sum()))
-        return padded[places], np.stack([padded[places + o] for o in OFFSETS], axis=1), sizes
+        numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        padded = np.full(len(words) + edge * (len(texts) + 1), EDGE, np.int64)
+        places = np.arange(len(words)) + edge * (1 + np.repeat(np.arange(len(texts)), sizes))
+        padded[places] = self.token[numbers]
+        return words, numbers, padded[places], np.stack([padded[places + o] for o in OFFSETS], axis=1), sizes
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Targets, their contexts, and the number of tokens of each text."""
+        return self.read(texts)[2:]
 
 
 def _sorting(tokens: np.ndarray) -> np.ndarray:
@@ -150,9 +166,12 @@ class Network:
         return np.tanh(total)
 
     @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Log-softmax of one entry of each row; ``x`` is used up."""
+        x -= x.max(axis=1, keepdims=True)
+        found = x[np.arange(len(x)), chosen]
+        np.exp(x, out=x)
+        return found - np.log(x.sum(axis=1))
 
     @staticmethod
     def _softmax(x: np.ndarray) -> np.ndarray:
@@ -166,13 +185,13 @@ class Network:
         order = _sorting(targets // PER_CLASS)
         targets, h = targets[order], self.hidden(contexts[order])
         kinds = targets // PER_CLASS
-        found = self._log_softmax(h @ self.w["class"] + self.w["class_bias"])[np.arange(len(h)), kinds]
+        found = self._log_chosen(h @ self.w["class"] + self.w["class_bias"], kinds)
         bounds = np.searchsorted(kinds, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             part = slice(bounds[c], bounds[c + 1])
             if part.stop > part.start:
-                own = self._log_softmax(h[part] @ self.w["token"][c] + self.w["token_bias"][c])
-                found[part] += own[np.arange(len(own)), targets[part] % PER_CLASS]
+                found[part] += self._log_chosen(
+                    h[part] @ self.w["token"][c] + self.w["token_bias"][c], targets[part] % PER_CLASS)
         back = np.empty_like(found)
         back[order] = found
         return back
@@ -289,42 +308,35 @@ def score(docs: DataFrame, words: list[str], net: Network, id_col: str = "doc_id
     of_class = -np.log(_class_counts(counts, words))
     listed = {w: float(np.log(n)) for w, n in _listed(counts).items()} | dict.fromkeys(words, 0.0)
 
-    def start():
-        tokens = Tokens(words)
-
-        def run(columns):
-            sums: list[float] = []
-            sizes: list[int] = []
-            others: list[list[tuple[str, int]]] = []
-            for at in range(0, len(columns[1]), 50):
-                texts = columns[1][at:at + 50]
-                targets, contexts, own = tokens.of(texts)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens(words, listed)
+        for batch in batches:
+            texts, sums, sizes, ends, left = batch.column(1).to_pylist(), [], [], [0], []
+            for at in range(0, len(texts), 50):
+                flat, numbers, targets, contexts, own = tokens.read(texts[at:at + 50])
                 logs = net.log_probs(targets, contexts).astype(np.float64)
-                flat = [w for t in texts for w in _words(t)]
-                shares = np.fromiter(map(listed.get, flat, repeat(np.nan)), np.float64, len(flat))
+                shares = tokens.share[numbers]
                 open_ = np.isnan(shares)
                 logs += np.where(open_, 0.0, shares)
                 rare = targets >= TOKENS - ENDINGS
                 logs[rare] += of_class[targets[rare] - (TOKENS - ENDINGS)]
                 stops = np.cumsum(own)
-                ends = np.append(0, np.cumsum(logs))[stops]
-                sums += np.diff(np.append(0, ends)).tolist()
+                sums += np.diff(np.append(0, np.append(0, np.cumsum(logs))[stops])).tolist()
                 sizes += own.tolist()
                 places = np.flatnonzero(open_)
-                bounds = np.append(0, np.searchsorted(places, stops)).tolist()
-                left = [flat[i] for i in places.tolist()]
-                others += [list(Counter(left[a:b]).items()) for a, b in zip(bounds, bounds[1:])]
-            return [columns[0], sizes, [s if n else 0.0 for s, n in zip(sums, sizes)],
-                    [[{"word": w, "times": n} for w, n in o] for o in others]]
-
-        return run
-
-    scored = saved(map_batches(
-        rows, f"doc_id {kind}, n_tokens bigint, log_likelihood double, others array<struct<word:string,times:int>>",
-        start).withColumn("row", F.monotonically_increasing_id()))
-    joined = scored.select("row", F.explode("others").alias("o")).select("row", "o.*").join(counts, "word", "left")
-    shares = joined.groupBy("row").agg(
-        F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(1)).cast("double"))).alias("share"))
+                ends += (len(left) + np.searchsorted(places, stops)).tolist()
+                left += [flat[i] for i in places.tolist()]
+            # The words whose counts are joined, as they stand in the text.
+            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(left, pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), others],
+                ["doc_id", "n_tokens", "log_likelihood", "others"])
+
+    scored = saved(rows.mapInArrow(
+        run, f"doc_id {kind}, n_tokens bigint, log_likelihood double, others array<string>").withColumn(
+        "row", F.monotonically_increasing_id()))
+    joined = scored.select("row", F.explode("others").alias("word")).join(counts, "word", "left")
+    shares = joined.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)).cast("double"))).alias("share"))
     whole = scored.drop("others").join(shares, "row", "left").select(
         "doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))).alias("log_likelihood"))
     return whole.withColumn("mean_log_prob", F.when(

@@ -245,6 +245,50 @@ def test_words_outside_the_vocabulary_are_tokens_of_their_own(spark, monkeypatch
         assert abs(again[i].log_likelihood - of_classes(texts[i]) - share) < 1e-3
 
 
+def test_whole_documents_score_as_a_plain_loop(spark, monkeypatch):
+    """Every token by its own forward pass, every word by counts over all texts."""
+    pl = pseudo_likelihood
+    monkeypatch.setattr(pl, "LISTED", 40)
+    rng = random.Random(6)
+    usual = [f"w{i:04d}x" for i in range(pl.TOKENS - pl.ENDINGS)]
+    texts = [" ".join(usual * 5)]
+    texts += [" ".join(rng.choice(usual[:30] + ["Qqing", "zzing", "ooing", "\u00e9t\u00e9", "x"]) for _ in range(n))
+              for n in (0, 1, 2, 3, 40, 130)] + ["once only here", None, "  \n "]
+    texts += [" ".join(usual[:3] + ["rare"] * 4000)]
+    frame = documents(spark, enumerate(texts))
+    words, net = pl.fit(frame)
+    rows = {r.doc_id: r for r in pl.score(frame, words, net).collect()}
+    counts, known = {}, {w: i for i, w in enumerate(words)}
+    for text in texts:
+        for word in (text or "").lower().split():
+            counts[word] = counts.get(word, 0) + 1
+    w = {k: v.astype(np.float64) for k, v in net.w.items()}
+
+    def token(word):
+        return known.get(word, pl.TOKENS - pl.ENDINGS + pl._ending(word))
+
+    def chosen(logits, i):
+        return logits[i] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+
+    for doc, text in enumerate(texts):
+        split = (text or "").lower().split()
+        at, total = [token(x) for x in split], 0.0
+        for i, word in enumerate(split):
+            hidden = w["bias"].copy()
+            for j, offset in enumerate(pl.OFFSETS):
+                near = at[i + offset] if 0 <= i + offset < len(at) else pl.EDGE
+                hidden += w["embed"][near] @ w["mix"][j]
+            hidden = np.tanh(hidden)
+            c, inside = divmod(at[i], pl.PER_CLASS)
+            total += chosen(hidden @ w["class"] + w["class_bias"], c)
+            total += chosen(hidden @ w["token"][c] + w["token_bias"][c], inside)
+            if word not in known:
+                total += np.log(counts[word] / sum(n for x, n in counts.items() if x not in known
+                                                   and pl._ending(x) == pl._ending(word)))
+        assert rows[doc].n_tokens == len(split)
+        assert abs(rows[doc].log_likelihood - total) <= 1e-3 * max(1, len(split)) ** 0.5, doc
+
+
 def languages(spark):
     rng = random.Random(2)
     words = {"x": ["ba", "be", "bi", "bo"], "y": ["ka", "ke", "ki", "ko"], "z": ["ma", "me", "mi", "mo"]}
