@@ -16,6 +16,9 @@ METRICS = {
     "room.pressure": ("pressure", "hPa", "Room atmospheric pressure in hPa"),
 }
 
+# Readings of a message: three points each, so that it stays within some hundred kilobytes.
+MESSAGE_READINGS = 1000
+
 
 def metric_rows(readings: DataFrame, ids: tuple[str, ...] = ("sensor_id", "room", "ts_nanos")) -> DataFrame:
     """Wide readings to one row per metric: ids, ``metric``, ``value``."""
@@ -136,14 +139,20 @@ def resource(attrs: Column, metrics: Column) -> Column:
     )
 
 
-def assemble_batches(snapshots: DataFrame, shards: int = 1) -> DataFrame:
+def assemble_batches(snapshots: DataFrame, shards: int = 1, most: int = MESSAGE_READINGS) -> DataFrame:
     """Nested batches per tick: (tick, shard, resource_metrics).
 
-    One message a tick by default. With more ``shards`` each tick is split into
-    up to so many messages by a hash of sensor and room, whatever the number of
-    readings, so that a message stays small where many sensors report.
+    One message a tick by default, as long as it holds about ``most`` readings
+    or fewer. With more ``shards`` each tick is split into up to so many messages
+    by a hash of sensor and room, whatever the number of readings; a tick with
+    more than ``most`` readings in each of them is split further, so that a
+    message stays small however many sensors report.
     """
-    placed = snapshots.withColumn("shard", F.pmod(F.xxhash64("sensor_id", "room"), F.lit(shards)))
+    # One row per tick, bounded by the calendar and not by the sensors.
+    sizes = snapshots.groupBy("tick").agg(F.greatest(
+        F.lit(shards).cast("bigint"), F.ceil(F.count(F.lit(1)) / most)).alias("_shards"))
+    placed = snapshots.join(F.broadcast(sizes), "tick").withColumn(
+        "shard", F.pmod(F.xxhash64("sensor_id", "room"), "_shards"))
     grouped = placed.groupBy("tick", "shard").agg(F.array_sort(F.collect_list(F.struct(
         "sensor_id", "room", "ts_nanos", "temp_c", "humidity", "pressure"))).alias("_items"))
     tick_nanos = F.unix_micros("tick") * 1000

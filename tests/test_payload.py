@@ -158,3 +158,20 @@ def test_batches_split_by_sensor_count(spark):
     left, right = (sorted(flatten_batches(b, "all").select(*columns).collect())
                    for b in (small, whole))
     assert left == right and len(left) == 6
+
+
+def test_messages_stay_small_with_many_sensors(spark):
+    snap = spark.range(3000).select(
+        F.concat(F.lit("s"), F.col("id").cast("string")).alias("sensor_id"), F.lit("r").alias("room"),
+        F.lit(10**15).alias("ts_nanos"), F.col("id").cast("double").alias("temp_c"), F.lit(1.0).alias("humidity"),
+        F.lit(2.0).alias("pressure"), F.when(F.col("id") < 2990, 60).otherwise(120).cast("timestamp").alias("tick"))
+    from kelvane.operators.batch import flatten_batches
+    for shards in (1, 3):
+        nested = metrics.assemble_batches(snap, shards, most=100)
+        points = F.size(F.col("resource_metrics")[0]["scope_metrics"][0]["metrics"][0]["gauge"]["data_points"])
+        sizes = nested.select("tick", points.alias("n")).collect()
+        assert sum(r.n for r in sizes) == 3000 and max(r.n for r in sizes) < 200
+        assert sum(r.tick.minute == 2 for r in sizes) <= shards
+        found = flatten_batches(nested, "all").select("sensor_id", "temp_c").collect()
+        assert len(found) == 3000 and {(r.sensor_id, r.temp_c) for r in found} == {
+            (f"s{i}", float(i)) for i in range(3000)}
