@@ -123,6 +123,6 @@ def encode_batches(batches: DataFrame, value: str = "value") -> DataFrame:
 
     @F.arrow_udf("binary")
     def write(values: pa.Array) -> pa.Array:
-        return pa.array([wire.coded(v) for v in values.to_pylist()], type=pa.binary())
+        return wire.all_coded(values)
 
     return batches.withColumn(value, write("resource_metrics")).drop("resource_metrics")

@@ -253,6 +253,30 @@ def test_wire_reader_returns_what_was_coded():
     assert wire_format.resource_metrics(sliced, KIND).to_pylist() == [batches[0] or None, None, batches[1] or None]
 
 
+def test_messages_are_read_and_coded_a_few_at_a_time(monkeypatch):
+    rng = random.Random(2)
+    batches = [some_resources(rng) for _ in range(300)]
+    coded = pa.array([wire_format.coded(b) if i % 7 else None for i, b in enumerate(batches)], pa.binary())
+    whole = wire_format.resource_metrics(coded, KIND)
+    assert len(wire_format.Reader(coded.slice(8, 1)).data) == len(coded[8].as_py()) + wire_format._PAD
+    held, reader = [], wire_format.Reader
+
+    def noted(values):
+        held.append(reader(values))
+        return held[-1]
+
+    monkeypatch.setattr(wire_format, "Reader", noted)
+    monkeypatch.setattr(wire_format, "RUN_BYTES", 2000)
+    assert wire_format.resource_metrics(coded, KIND).equals(whole)
+    assert wire_format.resource_metrics(coded[250:], KIND).equals(whole[250:])
+    longest = max(len(v) for v in coded.to_pylist() if v is not None)
+    assert len(held) > 10 and max(len(r.data) for r in held) <= 2000 + longest + wire_format._PAD
+    monkeypatch.setattr(wire_format, "CODED_ROWS", 7)
+    nested = pa.array([b or None for b in batches], KIND)
+    assert wire_format.all_coded(nested).to_pylist() == [wire_format.coded(b) for b in batches]
+    assert len(wire_format.all_coded(nested[:0])) == 0
+
+
 def field(number, value):
     return wire_format._field(number, wire_format.BYTES, value)
 
