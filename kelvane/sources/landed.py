@@ -21,6 +21,8 @@ START = {"time": -1, "file": "", "byte": 0}
 SCHEMA = "value binary, time bigint, file string, byte bigint"
 CHUNK = 1 << 20
 BATCH_ROWS = 10_000
+# Tasks for each core, and bytes of a task that takes several spans.
+TASKS, TASK_BYTES = 4, 64 << 20
 
 
 @dataclass
@@ -33,6 +35,25 @@ class Span(InputPartition):
     high: int
 
 
+@dataclass
+class Spans(InputPartition):
+    """Spans that follow one another, read by one task."""
+
+    spans: list[Span]
+
+
+def packed(spans: list[Span], most: int) -> list[Spans]:
+    """``spans`` in order, as many to a task as come to ``most`` bytes."""
+    tasks, size = [], 0
+    for span in spans:
+        if not tasks or size + span.high - span.low > most:
+            tasks.append(Spans([]))
+            size = 0
+        tasks[-1].spans.append(span)
+        size += span.high - span.low
+    return tasks
+
+
 def lines_of(stream, low: int, high: int) -> Iterator[tuple[int, bytes]]:
     """(byte, line) of the lines that begin in ``low``..``high``, read in chunks."""
     at = low
@@ -68,6 +89,9 @@ class LandedReader(DataSourceStreamReader):
 
     The first micro-batch of a run takes all that lies behind the checkpoint,
     whose place Spark tells only then; later ones take ``batchBytes``.
+
+    A task costs a start and a file for each partition of the shuffle behind it.
+    With ``tasks``, spans that are more than so many share tasks.
     """
 
     def __init__(self, options: dict) -> None:
@@ -76,6 +100,7 @@ class LandedReader(DataSourceStreamReader):
         self.settle = float(given.get("settle", 5))
         self.batch_bytes = int(given.get("batchbytes", 1 << 32))
         self.span_bytes = int(given.get("spanbytes", 64 << 20))
+        self.tasks = int(given.get("tasks", 0))
         self.planned: dict | None = None
 
     def _files(self) -> list[tuple[int, str, int]]:
@@ -108,7 +133,7 @@ class LandedReader(DataSourceStreamReader):
                 left -= end["byte"] - first
         return end
 
-    def partitions(self, start: dict, end: dict) -> list[Span]:
+    def partitions(self, start: dict, end: dict) -> list[Span] | list[Spans]:
         self.planned = end
         spans = []
         for at, file, size, first in self._behind(start, self._files()):
@@ -117,9 +142,16 @@ class LandedReader(DataSourceStreamReader):
             last = end["byte"] if (at, file) == (end["time"], end["file"]) else size
             spans += [Span(at, file, low, min(low + self.span_bytes, last))
                       for low in range(first, last, self.span_bytes)]
-        return spans
+        if not self.tasks:
+            return spans
+        share = -(-sum(span.high - span.low for span in spans) // self.tasks)
+        return packed(spans, max(self.span_bytes, min(share, TASK_BYTES)))
+
+    def read(self, part: Span | Spans) -> Iterator[pa.RecordBatch]:
+        for span in part.spans if isinstance(part, Spans) else [part]:
+            yield from self._read(span)
 
-    def read(self, span: Span) -> Iterator[pa.RecordBatch]:
+    def _read(self, span: Span) -> Iterator[pa.RecordBatch]:
         system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
         schema = pa.schema([("value", pa.binary()), ("time", pa.int64()), ("file", pa.string()), ("byte", pa.int64())])
 
@@ -166,7 +198,8 @@ def landed_topic(spark: SparkSession, path: str, settle: float = 5, batch_bytes:
     """
     spark.dataSource.register(LandedLines)
     lines = spark.readStream.format("landed_lines").option("path", path).option("settle", str(settle)).option(
-        "batchBytes", str(batch_bytes)).option("spanBytes", str(span_bytes)).load()
+        "batchBytes", str(batch_bytes)).option("spanBytes", str(span_bytes)).option(
+        "tasks", str(TASKS * spark.sparkContext.defaultParallelism)).load()
     return lines.select(
         F.lit(None).cast("binary").alias("key"), "value", F.lit(0).alias("partition"), F.col("time").alias("offset"),
         F.struct("file", "byte").alias("position"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kelvane.sinks.tables import ensure_tables
-from kelvane.sources.landed import START, LandedReader, landed_topic, lines_of
+from kelvane.sources.landed import START, LandedReader, Span, landed_topic, lines_of, packed
 from kelvane.sources.tables import scan
 from kelvane.streaming import jobs
 
@@ -65,6 +65,23 @@ def test_offsets_follow_time_file_and_byte(tmp_path):
     assert LandedReader({"path": folder, "settle": "1e12"}).latestOffset() == START
 
 
+def test_spans_share_tasks(tmp_path):
+    folder = str(tmp_path / "in")
+    for i in range(30):
+        land(folder, f"{i:02}.txt", b"".join(b"%d %d\n" % (i, j) for j in range(i + 1)), 1000 + i // 7)
+    plain = LandedReader({"path": folder, "settle": "0", "spanBytes": "4"})
+    few = LandedReader({"path": folder, "settle": "0", "spanBytes": "4", "tasks": "5"})
+    end, found = planned(plain, START)
+    assert planned(few, START) == (end, found) and len(found) == 30 * 31 // 2
+    assert len(few.partitions(START, end)) <= 6 < len(plain.partitions(START, end))
+    middle = {"time": 1002 * 10**6, "file": f"{folder}/15.txt", "byte": 7}
+    assert planned(few, middle) == planned(plain, middle)
+    # Little to read makes no more tasks than spans; much of it none that is very long.
+    assert len(LandedReader({"path": folder, "settle": "0", "tasks": "500"}).partitions(START, end)) == 1
+    spans = [Span(0, "a", low, low + 10) for low in range(0, 100, 10)]
+    assert [[s.low for s in t.spans] for t in packed(spans, 35)] == [[0, 10, 20], [30, 40, 50], [60, 70, 80], [90]]
+
+
 def payload(i, temp):
     return (f'{{"schema_version":"1","sensor_id":"s{i}","room":"r","temp_c":{temp},"humidity":1,"pressure":2,'
             f'"timestamp_ms":{1622505600000 + i}}}\n').encode()
