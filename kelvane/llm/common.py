@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelvane.session import shared_root, tune
+from kelvane.session import conf_scope, shared_root, tune
 
 # Rows in an Arrow batch: a batch of very long texts must fit a worker's memory.
 BATCH_ROWS = 500
+# For data frames made under it and run once.
+SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -26,9 +28,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def saved(rows: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared checkpoint folder."""
+    """The rows, computed once and kept in the shared checkpoint folder.
+
+    What was shuffled for them is removed at once, as nothing reads it again; Spark
+    by itself waits until the driver collects garbage, which small steps never cause.
+    """
     shared_root(rows.sparkSession)
-    return rows.checkpoint()
+    with conf_scope(rows.sparkSession, SHUFFLES_GO):
+        return rows.select("*").checkpoint()
 
 
 def picked(rows: DataFrame, **columns: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kelvane.llm import (
-    byte_pairs, mixing, near_duplicates, pseudo_likelihood, token_counts, toxicity,
+    byte_pairs, common, mixing, near_duplicates, pseudo_likelihood, token_counts, toxicity,
 )
 from kelvane.llm.graph import components
 
@@ -423,3 +423,17 @@ def test_toxicity_without_two_classes_is_a_constant(spark, labels):
     frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
     found = toxicity.classify(docs, frame).collect()
     assert len({r.score for r in found}) == 1 and {r.predicted for r in found} == {0}
+
+
+def test_saved_rows_leave_no_shuffles_behind(spark):
+    import glob
+    disks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for d in disks.localDirsString() for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = shuffles()
+    kept = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    found = common.saved(rows.join(rows.withColumnRenamed("n", "m"), "k"))
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    for _ in range(2):
+        assert found.filter("n = m").count() == 7 and rows.count() == 7
