@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import regex
@@ -15,7 +16,7 @@ from kelvane.llm.merges import Memo, merge
 
 # Fixed values of the vocabulary's format: what it treats as one word.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-MEMO = 400_000  # words, and chunks, whose codes a worker remembers
+MEMO = 240_000  # words, and chunks, whose codes a task remembers
 # White space to str.split(), but not to the vocabulary's format.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 BLANK = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -50,20 +51,26 @@ class WordBytePairs:
         self.words = Memo(self._encode_word, MEMO)
         self.chunks = Memo(self._encode_chunk, MEMO)
 
-    def _encode_word(self, word: str) -> list[int]:
+    def forget(self) -> None:
+        """Give back what is remembered of texts."""
+        self.words.clear()
+        self.chunks.clear()
+
+    def _encode_word(self, word: str) -> bytes:
+        """Identifiers, packed."""
         letters = [self.letters[b] for b in word.encode()]
         letters[-1] += self.end
         symbols = [i for i in map(self.vocab.get, letters) if i is not None]
-        return merge(symbols, self.pairs)
+        return array("I", merge(symbols, self.pairs)).tobytes()
 
     def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
         """Identifiers, packed, and their strings, of a text without white space."""
         # Each character is lowered on its own: no final form of sigma.
         lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for word in WORD.findall(lowered) for i in self.words[word]]
-        return array("I", ids).tobytes(), self.decode(ids)
+        packed = b"".join(map(self.words.__getitem__, WORD.findall(lowered)))
+        return packed, self.decode(memoryview(packed).cast("I"))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary strings, separated by spaces as the format has no decoder."""
         return " ".join([self.strings[i] for i in ids])
 
@@ -93,7 +100,7 @@ class WordBytePairs:
 
 @lru_cache(maxsize=1)
 def _coder(path: str) -> WordBytePairs:
-    """One for a worker's life, so that its tasks share what it remembers."""
+    """One for a worker's life, so that its tasks share the vocabulary."""
     return WordBytePairs(path)
 
 
@@ -114,9 +121,11 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, ids_as: str = "array",
         coder = _coder(vocabulary_path)
 
         def run(columns):
-            coder.chunks.trim()
-            coder.words.trim()
-            coded = [coder.encode(text) for text in columns[1]]
+            coded = []
+            for text in columns[1]:
+                coder.chunks.trim()
+                coder.words.trim()
+                coded.append(coder.encode(text))
             ids = [x[0] for x in coded]
             if not packed:
                 ids = [memoryview(x).cast("I").tolist() for x in ids]
@@ -126,4 +135,4 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, ids_as: str = "array",
 
     return map_batches(
         rows, f"doc_id {kind}, n_tokens bigint, ids {'binary' if packed else 'array<int>'}, decoded string",
-        start)
+        start, lambda: _coder(vocabulary_path).forget())

@@ -47,11 +47,13 @@ def picked(rows: DataFrame, **columns: str) -> DataFrame:
 
 
 def map_batches(rows: DataFrame, schema: str,
-                start: Callable[[], Callable[[list[list]], list[list]]]) -> DataFrame:
+                start: Callable[[], Callable[[list[list]], list[list]]],
+                end: Callable[[], None] = lambda: None) -> DataFrame:
     """Per Arrow batch, turn lists of column values into lists of column values.
 
     ``start`` runs once per task and returns the function for its batches, so
-    models and caches are set up once.
+    models and caches are set up once. ``end`` runs when the task is through: a
+    worker lives on, and what it keeps adds to the memory of the steps after it.
     """
     names = rows.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -59,12 +61,15 @@ def map_batches(rows: DataFrame, schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
-        for batch in batches:
-            if batch.num_rows:
-                columns = function([column.to_pylist() for column in batch.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, arrow)],
-                    schema=arrow)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    columns = function([column.to_pylist() for column in batch.columns])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(values, field.type) for values, field in zip(columns, arrow)],
+                        schema=arrow)
+        finally:
+            end()
 
     return rows.mapInArrow(run, schema)
 

@@ -133,7 +133,14 @@ class Sampler:
     def __init__(self, seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
         self.keys = rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
-        draws = lambda n: np.sort(-np.log(rng.random((64, n)) * rng.random((64, n))), axis=1).mean(axis=0)
+
+        def draws(n: int) -> np.ndarray:
+            x = rng.random((64, n))  # changed in place: every task makes its own
+            x *= rng.random((64, n))
+            np.negative(np.log(x, out=x), out=x)
+            x.sort(axis=1)
+            return x.mean(axis=0)
+
         self.r = draws(1 << 12).astype(np.float32)
         self.log_c = np.log(draws(1 << 16)).astype(np.float32)
 

@@ -27,7 +27,8 @@ WORD_DIMS = CHAR_DIMS = 8
 BUCKETS = 1 << 15
 GRAMS = (4, 5)
 PRIOR = 3.0
-MEMO = 300_000
+MEMO = 100_000  # words whose table rows a task remembers; a run of texts may add its own
+RUN = 250  # texts scored at a time
 STEPS = 400  # at least so many steps, however few the rows
 
 
@@ -366,41 +367,53 @@ class Scorer:
 
     def __init__(self, net: Network) -> None:
         self.net = net
-        self.clear()
-
-    def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.table = _no_word()
-
-    def _learn(self, words: list[str]) -> None:
-        """Table rows for new words."""
-        listed = [grams_of(w) for w in words]
-        sizes = np.array([len(g) for g in listed])
-        grams, offsets = np.array([g for x in listed for g in x]), np.append(0, np.cumsum(sizes)[:-1])
-        ids = np.array([self.net.vocabulary.get(w, 0) for w in words])
-        odds = np.column_stack([self.net.word_odds[ids],
-                                np.maximum.reduceat(self.net.gram_odds[grams], offsets)])
-        drive = self.net.drive(self.net.inputs(ids, odds, grams, offsets))
-        need = len(self.rows) + len(words) + 1
-        if need > len(self.table):
-            grown = np.zeros((max(need, 2 * len(self.table)), 6 * UNITS), np.float32)
-            grown[:len(self.table)] = self.table
-            self.table = grown
+        self.met = np.zeros(1, np.int64)  # how often each row was read
+
+    def _trim(self) -> None:
+        """Keep the words met most often, a third of what may be remembered."""
+        kept = 1 + np.sort(np.argsort(-self.met[1:len(self.rows) + 1], kind="stable")[:MEMO // 3])
+        names = list(self.rows)
+        self.rows = {names[i - 1]: row for row, i in enumerate(kept.tolist(), 1)}
+        self.table = np.vstack([_no_word(), self.table[kept]])
+        self.met = np.zeros(len(self.table), np.int64)
+
+    def _learn(self, words: list[str], part: int = 4096) -> None:
+        """Table rows for new words, a part at a time: what it takes in between is
+        several times as large."""
         first = len(self.rows) + 1
-        self.table[first:first + len(words)] = drive
-        self.rows.update(zip(words, range(first, first + len(words))))
+        need = first + len(words)
+        if need > len(self.table):
+            grown = np.zeros((need + need // 4, 6 * UNITS), np.float32)
+            grown[:first] = self.table[:first]
+            self.table, self.met = grown, np.append(self.met, np.zeros(len(grown) - len(self.met), np.int64))
+        for a in range(0, len(words), part):
+            own = words[a:a + part]
+            listed = [grams_of(w) for w in own]
+            sizes = np.array([len(g) for g in listed])
+            grams, offsets = np.array([g for x in listed for g in x]), np.append(0, np.cumsum(sizes)[:-1])
+            ids = np.array([self.net.vocabulary.get(w, 0) for w in own])
+            odds = np.column_stack([self.net.word_odds[ids],
+                                    np.maximum.reduceat(self.net.gram_odds[grams], offsets)])
+            self.table[first + a:first + a + len(own)] = self.net.drive(self.net.inputs(ids, odds, grams, offsets))
+        self.rows.update(zip(words, range(first, need)))
 
     def scores(self, texts: list[str | None]) -> list[float]:
         if self.net.constant is not None:
             return [self.net.constant] * len(texts)
+        return [x for i in range(0, len(texts), RUN) for x in self._scores(texts[i:i + RUN])]
+
+    def _scores(self, texts: list[str | None]) -> list[float]:
         if len(self.rows) > MEMO:
-            self.clear()
+            self._trim()
         docs = [words_of(t) for t in texts]
         new = list({w for words in docs for w in words if w not in self.rows})
         if new:
             self._learn(new)
         get = self.rows.__getitem__
         flat = np.fromiter((r for words in docs for r in map(get, words)), np.int64)
+        self.met += np.bincount(flat, minlength=len(self.met))
         flat = np.append(flat, np.zeros(LENGTH, np.int64))
         starts, ends, owner, at = [], [], [], 0
         for d, words in enumerate(docs):

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -437,3 +438,27 @@ def test_saved_rows_leave_no_shuffles_behind(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
     for _ in range(2):
         assert found.filter("n = m").count() == 7 and rows.count() == 7
+
+
+def test_scores_stay_while_words_are_forgotten(monkeypatch):
+    net = toxicity.Network.fresh(0)
+    texts = [" ".join(f"w{(7 * i + j) % 500}" for j in range(40)) for i in range(60)] + ["", None]
+    whole = toxicity.Scorer(net).scores(texts)
+    monkeypatch.setattr(toxicity, "MEMO", 90)
+    monkeypatch.setattr(toxicity, "RUN", 2)
+    scorer = toxicity.Scorer(net)
+    assert np.allclose(scorer.scores(texts), whole, atol=1e-6)
+    assert len(scorer.rows) <= 90 + 2 * 40 and len(scorer.table) <= 2 * (90 + 2 * 40)
+
+
+def test_a_worker_keeps_no_words_when_byte_pairs_are_done(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four")], "doc_id long, text string").coalesce(1)
+    byte_pairs.encode_decode(docs, path).collect()
+
+    def held(batches):
+        for _ in batches:
+            coder = byte_pairs._coder(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(coder.words) + len(coder.chunks)])], ["n"])
+
+    assert [r.n for r in spark.range(1).coalesce(1).mapInArrow(held, "n long").collect()] == [0]
