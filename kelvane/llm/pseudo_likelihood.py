@@ -13,7 +13,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ EDGE = TOKENS  # stands before the first and behind the last token
 UNITS = 16
 OFFSETS = (-2, -1, 1, 2)
 BATCH = 8192
-MEMO = 400_000
+MEMO = 400_000  # words a task counts before it passes them on
 # Words with at least this part of all tokens are looked up in the tasks, so there
 # are no more than LISTED of them; the counts of all others are joined.
 LISTED = 1 << 17
@@ -114,20 +114,19 @@ class Tokens:
         self.share[TOKENS - ENDINGS:TOKENS] = np.nan
         self.share[TOKENS:] = [listed[w] for w in others]
         self.known = numbers | {w: TOKENS + i for i, w in enumerate(others)}
-        self.memo = Memo(self._number, MEMO)
-
-    def _number(self, word: str) -> int:
-        number = self.known.get(word)
-        return TOKENS - ENDINGS + _ending(word) if number is None else number
+        # By the last letters: few enough to stay near, unlike the words themselves.
+        self.endings = Memo(lambda end: TOKENS - ENDINGS + _ending(end), MEMO)
 
     def read(self, texts: list[str | None]):
         """Words and their numbers, targets, contexts, and the number of tokens of each text."""
-        self.memo.trim()
+        self.endings.trim()
         split = [_words(t) for t in texts]
         sizes = np.array([len(w) for w in split], dtype=np.int64)
         words = list(chain.from_iterable(split))
         edge = len(OFFSETS) // 2
-        numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(numbers < 0)
+        numbers[unknown] = [self.endings[words[i][-2:]] for i in unknown.tolist()]
         padded = np.full(len(words) + edge * (len(texts) + 1), EDGE, np.int64)
         places = np.arange(len(words)) + edge * (1 + np.repeat(np.arange(len(texts)), sizes))
         padded[places] = self.token[numbers]
@@ -162,22 +161,23 @@ class Network:
     def hidden(self, contexts: np.ndarray) -> np.ndarray:
         total = np.tile(self.w["bias"], (len(contexts), 1))
         for j in range(len(OFFSETS)):
-            total += (self.w["embed"] @ self.w["mix"][j])[contexts[:, j]]
+            total += (self.w["embed"] @ self.w["mix"][j]).take(contexts[:, j], axis=0)
         return np.tanh(total)
 
+    # Logits stand in columns, one for each token: sums and maxima then run along rows.
     @staticmethod
     def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        """Log-softmax of one entry of each row; ``x`` is used up."""
-        x -= x.max(axis=1, keepdims=True)
-        found = x[np.arange(len(x)), chosen]
+        """Log-softmax of one entry of each column; ``x`` is used up."""
+        x -= x.max(axis=0)
+        found = x[chosen, np.arange(len(chosen))]
         np.exp(x, out=x)
-        return found - np.log(x.sum(axis=1))
+        return found - np.log(x.sum(axis=0))
 
     @staticmethod
     def _softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(axis=1, keepdims=True)
+        x -= x.max(axis=0)
         np.exp(x, out=x)
-        x /= x.sum(axis=1, keepdims=True)
+        x /= x.sum(axis=0)
         return x
 
     def log_probs(self, targets: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -185,13 +185,13 @@ class Network:
         order = _sorting(targets // PER_CLASS)
         targets, h = targets[order], self.hidden(contexts[order])
         kinds = targets // PER_CLASS
-        found = self._log_chosen(h @ self.w["class"] + self.w["class_bias"], kinds)
+        found = self._log_chosen(self.w["class"].T @ h.T + self.w["class_bias"][:, None], kinds)
         bounds = np.searchsorted(kinds, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             part = slice(bounds[c], bounds[c + 1])
             if part.stop > part.start:
                 found[part] += self._log_chosen(
-                    h[part] @ self.w["token"][c] + self.w["token_bias"][c], targets[part] % PER_CLASS)
+                    self.w["token"][c].T @ h[part].T + self.w["token_bias"][c][:, None], targets[part] % PER_CLASS)
         back = np.empty_like(found)
         back[order] = found
         return back
@@ -201,22 +201,22 @@ class Network:
         order = _sorting(targets // PER_CLASS)
         targets, contexts, n = targets[order], contexts[order], np.float32(len(targets))
         h, kinds = self.hidden(contexts), targets // PER_CLASS
-        d_class = self._softmax(h @ self.w["class"] + self.w["class_bias"])
-        d_class[np.arange(len(h)), kinds] -= 1
+        d_class = self._softmax(self.w["class"].T @ h.T + self.w["class_bias"][:, None])
+        d_class[kinds, np.arange(len(h))] -= 1
         d_class /= n
-        grads = {"class": h.T @ d_class, "class_bias": d_class.sum(axis=0),
+        grads = {"class": (d_class @ h).T, "class_bias": d_class.sum(axis=1),
                  "token": np.zeros_like(self.w["token"]), "token_bias": np.zeros_like(self.w["token_bias"])}
-        d_h = d_class @ self.w["class"].T
+        d_h = (self.w["class"] @ d_class).T
         bounds = np.searchsorted(kinds, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             part = slice(bounds[c], bounds[c + 1])
             if part.stop > part.start:
-                d = self._softmax(h[part] @ self.w["token"][c] + self.w["token_bias"][c])
-                d[np.arange(len(d)), targets[part] % PER_CLASS] -= 1
+                d = self._softmax(self.w["token"][c].T @ h[part].T + self.w["token_bias"][c][:, None])
+                d[targets[part] % PER_CLASS, np.arange(d.shape[1])] -= 1
                 d /= n
-                grads["token"][c], grads["token_bias"][c] = h[part].T @ d, d.sum(axis=0)
-                d_h[part] += d @ self.w["token"][c].T
-        d_sum = d_h * (1 - h * h)
+                grads["token"][c], grads["token_bias"][c] = (d @ h[part]).T, d.sum(axis=1)
+                d_h[part] += (self.w["token"][c] @ d).T
+        d_sum = np.ascontiguousarray(d_h * (1 - h * h))
         grads["bias"] = d_sum.sum(axis=0)
         grads["embed"], grads["mix"] = np.zeros_like(self.w["embed"]), np.zeros_like(self.w["mix"])
         for j in range(len(OFFSETS)):
@@ -224,7 +224,7 @@ class Network:
             by = _sorting(contexts[:, j])
             sorted_tokens = contexts[by, j]
             first = np.flatnonzero(np.append(True, sorted_tokens[1:] != sorted_tokens[:-1]))
-            used, total = sorted_tokens[first], np.add.reduceat(d_sum[by], first)
+            used, total = sorted_tokens[first], np.add.reduceat(d_sum.take(by, axis=0), first)
             grads["embed"][used] += total @ self.w["mix"][j].T
             grads["mix"][j] = self.w["embed"][used].T @ total
         return grads
@@ -335,8 +335,9 @@ def score(docs: DataFrame, words: list[str], net: Network, id_col: str = "doc_id
     scored = saved(rows.mapInArrow(
         run, f"doc_id {kind}, n_tokens bigint, log_likelihood double, others array<string>").withColumn(
         "row", F.monotonically_increasing_id()))
-    joined = scored.select("row", F.explode("others").alias("word")).join(counts, "word", "left")
-    shares = joined.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)).cast("double"))).alias("share"))
+    # A word counted once, or not at all, adds log(1) and needs no partner.
+    joined = scored.select("row", F.explode("others").alias("word")).join(counts.filter("n > 1"), "word")
+    shares = joined.groupBy("row").agg(F.sum(F.log(F.col("n").cast("double"))).alias("share"))
     whole = scored.drop("others").join(shares, "row", "left").select(
         "doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))).alias("log_likelihood"))
     return whole.withColumn("mean_log_prob", F.when(

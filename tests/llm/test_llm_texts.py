@@ -298,6 +298,17 @@ def languages(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, domain string")
 
 
+def test_reading_remembers_endings_and_not_words():
+    pl = pseudo_likelihood
+    tokens = pl.Tokens(["known"], {"known": 0.0, "listed": 0.5})
+    words = [f"{i}x{i % 7}" for i in range(5000)]
+    found, numbers, targets, _, sizes = tokens.read(["known listed " + " ".join(words), None])
+    assert found == ["known", "listed", *words] and sizes.tolist() == [5002, 0]
+    assert numbers[:2].tolist() == [0, pl.TOKENS]
+    assert targets.tolist() == [0] + [pl.TOKENS - pl.ENDINGS + pl._ending(w) for w in ["listed", *words]]
+    assert max(len(v) for v in vars(tokens).values() if isinstance(v, dict)) < 100
+
+
 def test_mixing_meets_its_targets(spark):
     docs = languages(spark)
     targets = {"x": 0.2, "y": 0.3, "z": 0.5}
