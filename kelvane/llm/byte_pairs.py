@@ -16,7 +16,7 @@ from kelvane.llm.merges import Memo, merge
 
 # Fixed values of the vocabulary's format: what it treats as one word.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-MEMO = 240_000  # words, and chunks, whose codes a task remembers
+MEMO = 400_000  # words, and chunks, whose codes a task remembers
 # White space to str.split(), but not to the vocabulary's format.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 BLANK = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
